@@ -1,0 +1 @@
+"""Empty on purpose: every job of this package is a batch job (see README)."""
