@@ -12,13 +12,18 @@ SITE = "https://nhadat247.com.vn"
 LABEL_TAIL = "..."
 
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# All characters Unicode counts as white space, and the four separators below the blank.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Stands for a removed tag while entities are decoded; not allowed in HTML text.
 TAG_MARK = "\u0001"
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space of any kind, not only blanks."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def truncate_label(text: Column, size: int) -> Column:
@@ -49,7 +54,7 @@ def normalize_url(url: Column, site: str = SITE) -> Column:
 
 
 def _entity_codepoint(name: Column) -> Column:
-    named = F.create_map(*[F.lit(x) for pair in name2codepoint.items() for x in pair])
+    named = F.expr("map(" + ", ".join(f"'{n}', {c}" for n, c in name2codepoint.items()) + ")")
     return (
         F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).try_cast("int"))
         .when(name.startswith("#"), F.substring(name, 2, 7).try_cast("int"))
@@ -66,19 +71,17 @@ def _character(codepoint: Column) -> Column:
 def unescape(text: Column) -> Column:
     """Decode character references that end in a semicolon."""
 
-    def decode_piece(piece: Column) -> Column:
+    def decode(piece: Column, position: Column) -> Column:
         name = F.regexp_extract(piece, ENTITY, 1)
         codepoint = _entity_codepoint(name)
         rest = F.substr(piece, F.length(name) + 2)
-        return F.when(codepoint.isNull(), F.concat(F.lit("&"), piece)).otherwise(
-            F.concat(_character(codepoint), rest)
+        return (
+            F.when(position == 0, piece)
+            .when(codepoint.isNull(), F.concat(F.lit("&"), piece))
+            .otherwise(F.concat(_character(codepoint), rest))
         )
 
-    pieces = F.split(text, "&")
-    decoded = F.transform(F.slice(pieces, 2, F.size(pieces)), decode_piece)
-    return F.when(
-        text.contains("&"), F.concat(F.get(pieces, 0), F.array_join(decoded, ""))
-    ).otherwise(text)
+    return F.array_join(F.transform(F.split(text, "&"), decode), "")
 
 
 def text_of(markup: Column) -> Column:

@@ -6,6 +6,10 @@ shuffle-free pass. Markup is matched by patterns: an element ends at the first c
 tag of its name, and attribute values do not contain ``>``. Comments, scripts and
 styles are removed before elements are looked for; the patterns that are meant for the
 raw page (coordinates, blocking, the last area fallback) see it whole.
+
+The ``with_`` functions work in steps. What a step finds is a column of its own, empty
+when there is nothing, because Spark evaluates a column once that several later
+expressions use, but a repeated expression inside a condition again and again.
 """
 
 from __future__ import annotations
@@ -49,7 +53,7 @@ LONGITUDE_RANGE = (102, 110)
 
 # Markup patterns. (?U) makes classes Unicode-aware, (?d) lets only \n end a line.
 QUOTED = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
-NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+NOT_MARKUP = r"(?is)<(?:!--.*?--|(script|style)\b.*?</\1\s*)>"
 FIRST_H1 = r"(?is)<h1\b[^>]*>.*?</h1\s*>"
 FIRST_TITLE = r"(?is)<title\b[^>]*>.*?</title\s*>"
 ANY_SPAN = r"(?is)<span\b[^>]*>.*?</span\s*>"
@@ -69,23 +73,23 @@ AREA_VALUE_SPAN = _element("span", AREA_VALUE_CLASS)
 PRICE_INPUT = rf"""(?is)<input\s(?:[^>]*?\s)?class\s*=\s*["']?(?:[^"'>]*\s)?{PRICE_CLASS}(?=[\s"'/>])[^>]*>"""
 
 
-def _first(text: Column, pattern: str) -> Column:
-    """First match of the whole pattern, NULL without a match."""
-    return F.regexp_substr(text, F.lit(pattern))
+def _found(text: Column, pattern: str) -> Column:
+    """First match of the whole pattern, empty without a match."""
+    return F.regexp_extract(text, pattern, 0)
 
 
 def _all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def _filled(text: Column) -> Column:
-    """The text, NULL where empty."""
-    return F.when(text != "", text)
+def _first_filled(*names: str) -> Column:
+    """The first of the columns that is neither NULL nor empty, else NULL."""
+    return F.coalesce(*[F.when(F.col(n) != "", F.col(n)) for n in names])
 
 
-def markup(html: Column) -> Column:
-    """The page without comments, scripts and styles."""
-    return F.regexp_replace(html, NOT_MARKUP, "")
+def with_elements(pages: DataFrame) -> DataFrame:
+    """Add the page without comments, scripts and styles, which the element patterns read."""
+    return pages.withColumn("_elements", F.regexp_replace("html", NOT_MARKUP, ""))
 
 
 def is_blocked(html: Column) -> Column:
@@ -106,14 +110,19 @@ def detail_links(elements: Column) -> Column:
     return F.transform(F.filter(hrefs, lambda h: h.contains(LINK_PART)), lambda h: normalize_url(h))
 
 
-def title(elements: Column) -> Column:
-    """Text of the first ``h1``, else of the first ``title``."""
-    return text_of(F.coalesce(_first(elements, FIRST_H1), _first(elements, FIRST_TITLE)))
+def with_title(pages: DataFrame) -> DataFrame:
+    """Add ``title``: text of the first ``h1``, else of the first ``title``."""
+    elements, heading = F.col("_elements"), F.col("_heading")
+    return (
+        pages.withColumn("_h1", _found(elements, FIRST_H1))
+        .withColumn(
+            "_heading", F.when(F.col("_h1") != "", F.col("_h1")).otherwise(_found(elements, FIRST_TITLE))
+        )
+        .withColumn("title", F.when(heading != "", text_of(heading)))
+    )
 
 
 def _address_from_spans(elements: Column) -> Column:
-    texts = F.transform(_all(elements, ANY_SPAN), text_of)
-
     def names_place(text: Column) -> Column:
         found = F.lit(False)
         for place in PLACE_NAMES:
@@ -125,41 +134,55 @@ def _address_from_spans(elements: Column) -> Column:
             text = F.regexp_replace(text, "(?Ud)" + noise, "")
         return strip(text)
 
+    texts = F.transform(_all(elements, ANY_SPAN), text_of)
     cleaned = F.transform(F.filter(texts, names_place), without_noise)
     return F.get(F.filter(cleaned, lambda t: F.length(t) > ADDRESS_MIN_LENGTH), F.lit(0))
 
 
-def address(elements: Column) -> Column:
-    """First three comma parts of the description, else a span that names a known place."""
-    described = _filled(text_of(_first(elements, DESCRIPTION_SPAN)))
+def with_address(pages: DataFrame) -> DataFrame:
+    """Add ``address``: first three comma parts of the description, else a span that names a known place."""
+    described = F.col("_description")
     parts = F.slice(F.split(described, ","), 1, ADDRESS_PARTS)
-    return F.coalesce(strip(F.array_join(parts, ",")), _address_from_spans(elements))
+    return (
+        pages.withColumn("_description", text_of(_found(F.col("_elements"), DESCRIPTION_SPAN)))
+        .withColumn("_span", F.when(described == "", _address_from_spans(F.col("_elements"))))
+        .withColumn(
+            "address",
+            F.when(described != "", strip(F.array_join(parts, ","))).otherwise(F.col("_span")),
+        )
+    )
 
 
-def price(elements: Column, html: Column) -> Column:
-    """Digits of the price input; without digits the negotiable mark or the raw value."""
-    value = unquote(F.regexp_extract(_first(elements, PRICE_INPUT), VALUE, 1))
-    raw = strip(value)
-    digits = F.regexp_replace(raw, r"(?U)\D", "")
+def with_price(pages: DataFrame) -> DataFrame:
+    """Add ``price``: digits of the price input; without digits the negotiable mark or the raw value."""
+    html, value, raw = F.col("html"), F.col("_value"), F.col("_raw")
     negotiable = html.contains(NEGOTIABLE) | F.lower(html).contains(NEGOTIABLE.lower())
-    return F.when(
-        value != "",
-        F.coalesce(_filled(digits), F.when(negotiable, F.lit(NEGOTIABLE)), _filled(raw)),
+    return (
+        pages.withColumn("_input", _found(F.col("_elements"), PRICE_INPUT))
+        .withColumn("_value", unquote(F.regexp_extract("_input", VALUE, 1)))
+        .withColumn("_raw", strip(value))
+        .withColumn("_digits", F.regexp_replace(raw, r"(?U)\D", ""))
+        .withColumn(
+            "price",
+            F.when(F.col("_digits") != "", F.col("_digits"))
+            .when((value != "") & negotiable, F.lit(NEGOTIABLE))
+            .when(raw != "", raw),
+        )
     )
 
 
-def area(elements: Column, html: Column) -> Column:
-    """Value of the labelled item, else the area near the label, else the first on the page."""
-    items = F.filter(_all(elements, AREA_ITEM), lambda i: raw_text_of(i).contains(AREA_LABEL))
-    values = F.filter(
-        F.transform(items, lambda i: _first(i, AREA_VALUE_SPAN)), lambda v: v.isNotNull()
-    )
+def with_area(pages: DataFrame) -> DataFrame:
+    """Add ``area``: value of the labelled item, else the area near the label, else the first on the page."""
+    html, elements = F.col("html"), F.col("_elements")
     pattern = "(?iU)" + AREA_PATTERN
-    near_label = raw_text_of(_first(elements, LABELLED_TEXT))
-    return F.coalesce(
-        _filled(text_of(F.get(values, F.lit(0)))),
-        _filled(strip(F.regexp_extract(near_label, pattern, 1))),
-        _filled(F.regexp_extract(html, pattern, 1)),
+    items = F.filter(_all(elements, AREA_ITEM), lambda i: raw_text_of(i).contains(AREA_LABEL))
+    values = F.filter(F.transform(items, lambda i: _found(i, AREA_VALUE_SPAN)), lambda v: v != "")
+    labelled = strip(F.regexp_extract(raw_text_of(_found(elements, LABELLED_TEXT)), pattern, 1))
+    return (
+        pages.withColumn("_item", F.coalesce(text_of(F.get(values, F.lit(0))), F.lit("")))
+        .withColumn("_labelled", F.when(F.col("_item") == "", labelled))
+        .withColumn("_anywhere", F.when(F.col("_labelled") == "", F.regexp_extract(html, pattern, 1)))
+        .withColumn("area", _first_filled("_item", "_labelled", "_anywhere"))
     )
 
 
@@ -188,8 +211,8 @@ def coordinates(html: Column) -> Column:
 
 def links_per_page(pages: DataFrame, limit: int = DEFAULT_LINKS_PER_PAGE) -> DataFrame:
     """The first ``limit`` detail links of each page that is not blocked: page_id, position, link."""
-    links = F.slice(detail_links(markup(F.col("html"))), 1, limit)
-    return drop_blocked_pages(pages).select(
+    links = F.slice(detail_links(F.col("_elements")), 1, limit)
+    return with_elements(drop_blocked_pages(pages)).select(
         "page_id", F.posexplode(links).alias("position", "link")
     )
 
@@ -197,23 +220,20 @@ def links_per_page(pages: DataFrame, limit: int = DEFAULT_LINKS_PER_PAGE) -> Dat
 def extract_details(pages: DataFrame, collected_on: Column | str) -> DataFrame:
     """One listing row per fetched detail page, in the fixed listing columns."""
     day = F.lit(collected_on) if isinstance(collected_on, str) else collected_on
-    html, elements = F.col("html"), F.col("_elements")
-    fields = (
-        pages.filter(html.isNotNull())
-        .withColumn("_elements", markup(html))
-        .select(
+    extracted = with_elements(pages.filter(F.col("html").isNotNull()))
+    for step in (with_title, with_address, with_price, with_area):
+        extracted = step(extracted)
+    extracted = extracted.withColumn("_at", coordinates(F.col("html")))
+    return conform(
+        extracted.select(
             normalize_url(F.col("url")).alias("url"),
-            area(elements, html).alias("Diện tích"),
-            price(elements, html).alias("Mức giá"),
-            address(elements).alias("Địa chỉ"),
+            F.col("area").alias("Diện tích"),
+            F.col("price").alias("Mức giá"),
+            F.col("address").alias("Địa chỉ"),
             day.alias("Ngày đăng"),
-            title(elements).alias("Tiêu đề"),
-            coordinates(html).alias("_at"),
-        )
-    )
-    return conform(
-        fields.withColumns(
-            {"latitude": F.col("_at.latitude"), "longitude": F.col("_at.longitude")}
+            F.col("title").alias("Tiêu đề"),
+            "_at.latitude",
+            "_at.longitude",
         )
     )
 

@@ -21,8 +21,8 @@ SELECT
   CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE n_name END AS ia_chi,
   CAST(CAST(o_orderdate AS DATE) AS STRING) AS ngay_ang,
   'Listing ' || CAST(o_orderkey AS STRING) AS tieu_e,
-  CAST(8.5 + (o_orderkey % 1500) / 100.0 AS DOUBLE) AS latitude,
-  CAST(102.5 + (o_orderkey % 700) / 100.0 AS DOUBLE) AS longitude,
+  CAST(850 + o_orderkey % 1500 AS DOUBLE) / CAST(100 AS DOUBLE) AS latitude,
+  CAST(10250 + o_orderkey % 700 AS DOUBLE) / CAST(100 AS DOUBLE) AS longitude,
   LOWER(r_name) AS search_city,
   c_mktsegment AS search_property_type,
   CASE WHEN o_orderkey % 4 = 0 THEN 'rent' ELSE 'buy' END AS search_rent_or_buy,
