@@ -37,22 +37,25 @@ def month_day(day: Column) -> Column:
     return F.date_format(day, "MM-dd")
 
 
-def normalize_url(url: Column, site: str = SITE) -> Column:
-    """Absolute form of a link.
+def absolute_url(link: Column, site: str = SITE) -> Column:
+    """Absolute form of a link without surrounding white space.
 
-    ``//host/path`` gets a scheme and is tested before ``/path``, which gets the
-    site in front. The empty string stays empty.
+    ``//host/path`` gets a scheme and is tested before ``/path``, which gets the site in
+    front.
     """
-    trimmed = strip(url)
     return (
-        F.when(url == "", url)
-        .when(trimmed.startswith("http"), trimmed)
-        .when(trimmed.startswith("//"), F.concat(F.lit("https:"), trimmed))
-        .when(trimmed.startswith("/"), F.concat(F.lit(site), trimmed))
-        .otherwise(F.concat(F.lit(site + "/"), trimmed))
+        F.when(link.startswith("http"), link)
+        .when(link.startswith("//"), F.concat(F.lit("https:"), link))
+        .when(link.startswith("/"), F.concat(F.lit(site), link))
+        .otherwise(F.concat(F.lit(site + "/"), link))
     )
 
 
+def normalize_url(url: Column, site: str = SITE) -> Column:
+    """Absolute form of a link; the empty string stays empty."""
+    return F.when(url == "", url).otherwise(absolute_url(strip(url), site))
+
+
 def _entity_codepoint(name: Column) -> Column:
     named = F.expr("map(" + ", ".join(f"'{n}', {c}" for n, c in name2codepoint.items()) + ")")
     return (

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthlake.functions.text import normalize_url, raw_text_of, strip, text_of, unquote
+from hearthlake.functions.text import absolute_url, normalize_url, raw_text_of, strip, text_of, unquote
 from hearthlake.operators.columns import LISTING_SCHEMA, conform
 
 # Texts and patterns that decide what is found.
@@ -107,7 +107,8 @@ def drop_blocked_pages(pages: DataFrame) -> DataFrame:
 def detail_links(elements: Column) -> Column:
     """Absolute urls of all links to detail pages, in page order."""
     hrefs = F.transform(_all(elements, LINK, 1), unquote)
-    return F.transform(F.filter(hrefs, lambda h: h.contains(LINK_PART)), lambda h: normalize_url(h))
+    details = F.filter(hrefs, lambda h: h.contains(LINK_PART))
+    return F.transform(F.transform(details, strip), lambda h: absolute_url(h))
 
 
 def with_title(pages: DataFrame) -> DataFrame:
@@ -212,8 +213,11 @@ def coordinates(html: Column) -> Column:
 def links_per_page(pages: DataFrame, limit: int = DEFAULT_LINKS_PER_PAGE) -> DataFrame:
     """The first ``limit`` detail links of each page that is not blocked: page_id, position, link."""
     links = F.slice(detail_links(F.col("_elements")), 1, limit)
-    return with_elements(drop_blocked_pages(pages)).select(
-        "page_id", F.posexplode(links).alias("position", "link")
+    # The outer form, because for the plain one Spark adds a filter that finds all links twice.
+    return (
+        with_elements(drop_blocked_pages(pages))
+        .select("page_id", F.posexplode_outer(links).alias("position", "link"))
+        .filter(F.col("link").isNotNull())
     )
 
 

@@ -5,9 +5,17 @@ The SQL is written so that Spark and DuckDB read it alike; the checks use the sa
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ["region", "nation", "customer", "orders", "events", "pages"]
+from hearthlake.session import shared_folder
+
+LISTING_SCHEMA = (
+    "url string, muc_gia string, dien_tich string, ia_chi string, ngay_ang string, tieu_e string, "
+    "latitude double, longitude double, search_city string, search_property_type string, "
+    "search_rent_or_buy string, search_radius int, run_version int, seq bigint"
+)
+PAGE_SCHEMA = "page_id bigint, url string, html string"
 
 # Serving-table shape: prices and areas are text, some without a number or NULL; one
 # url in ten occurs twice.
@@ -92,24 +100,52 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _derived(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
-    # {name} in the text refers to the frame passed under that name.
-    for table in tables:
-        sql = sql.replace(f"FROM {table}", f"FROM {{{table}}}").replace(f"JOIN {table}", f"JOIN {{{table}}}")
-    return spark.sql(sql, **{t: given(spark, sf_dir, t) for t in tables})
+def _derived(sql: str, **frames: DataFrame) -> DataFrame:
+    """Run the SQL with its tables taken from ``frames``."""
+    text = sql.replace("{", "{{").replace("}", "}}")
+    for table in frames:
+        for word in ("FROM", "JOIN"):
+            text = text.replace(f"{word} {table}", f"{word} {{{table}}}")
+    return next(iter(frames.values())).sparkSession.sql(text, **frames)
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: str) -> DataFrame:
+    """A table the jobs read, derived from the orders and written once per application.
+
+    It lies in the shared folder, as a crawler or an earlier publish leaves it. Few
+    bytes of an order become much text, so the orders are spread over the tasks first:
+    one small file would otherwise be the work of one task.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, schema)
+    if key in _STORED:
+        try:
+            return spark.read.schema(schema).parquet(_STORED[key])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    folder = shared_folder(spark)
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    others = {t: given(spark, sf_dir, t) for t in joined}
+    _derived(sql, orders=orders.repartition(tasks), **others).write.parquet(folder)
+    _STORED[key] = folder
+    return spark.read.schema(schema).parquet(folder)
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, LISTINGS, "orders", "customer", "nation", "region")
+    return _stored(spark, sf_dir, LISTINGS, LISTING_SCHEMA, "customer", "nation", "region")
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, DETAIL_PAGES.replace("{", "{{").replace("}", "}}"), "orders")
+    return _stored(spark, sf_dir, DETAIL_PAGES, PAGE_SCHEMA)
 
 
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, SEARCHES, "customer")
+    return _derived(SEARCHES, customer=given(spark, sf_dir, "customer"))
 
 
 def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir, BODIES, "events")
+    return _derived(BODIES, events=given(spark, sf_dir, "events"))

@@ -87,7 +87,10 @@ SHOWN = "regexp_replace(html, '<!--.*?-->|<script>.*?</script>', '', 'g')"
 
 
 def plain(x: str) -> str:
-    return f"replace(trim(regexp_replace({x}, ' *<[^>]*> *', '', 'g')), '&amp;', '&')"
+    text = f"trim(regexp_replace({x}, ' *<[^>]*> *', '', 'g'))"
+    for name, character in (("quot", '"'), ("#39", "''"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        text = f"replace({text}, '&{name};', '{character}')"
+    return text
 
 
 TITLE = f"""CASE WHEN {SHOWN} LIKE '%<h1%' THEN {plain(f"regexp_extract({SHOWN}, '<h1.*?</h1>')")}
