@@ -166,7 +166,7 @@ def read_current_table(spark, sf_dir):
 @query
 def publish_full_refresh(spark, sf_dir):
     folder = shared_folder(spark)
-    rows = serving.serving_rows(raw_listings(spark, sf_dir), ORDER, CITIES)
+    rows = serving.serving_rows(raw_listings(spark, sf_dir), ORDER, CITIES, "url")
     snapshots.write_snapshot(rows, folder, "PUBLISH")
     return snapshots.read_current(spark, folder)
 
@@ -177,7 +177,7 @@ def merge_and_publish(spark, sf_dir):
     folder = shared_folder(spark)
     refresh.merge_listings(first_crawl(spark, sf_dir), f"{folder}/bronze", ORDER)
     refresh.merge_listings(second_crawl(spark, sf_dir), f"{folder}/bronze", ORDER)
-    published = refresh.publish(f"{folder}/bronze", f"{folder}/serving", spark, ORDER, CITIES)
+    published = refresh.publish(spark, f"{folder}/bronze", f"{folder}/serving", CITIES)
     return published.select(keys.MERGE_KEY.lower(), "url", "muc_gia", "search_city", "seq")
 
 
@@ -555,6 +555,6 @@ def extraction_rate_overall(spark, sf_dir):
 @query
 def verify_counts(spark, sf_dir):
     folder = shared_folder(spark)
-    rows = serving.serving_rows(raw_listings(spark, sf_dir), ORDER, CITIES)
+    rows = serving.serving_rows(raw_listings(spark, sf_dir), ORDER, CITIES, "url")
     snapshots.write_snapshot(rows, folder, "PUBLISH")
     return checks.verify_counts(rows, snapshots.read_current(spark, folder))

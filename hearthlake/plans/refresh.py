@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthlake.functions.keys import MERGE_KEY, with_merge_key
@@ -14,6 +14,7 @@ from hearthlake.operators.criteria import with_search_url
 from hearthlake.operators.dedup import dedup_keep_last
 from hearthlake.operators.extract import DEFAULT_LINKS_PER_PAGE, extract_listings
 from hearthlake.operators.upsert import upsert_by_key
+from hearthlake.session import shared_folder
 from hearthlake.sources.serving import serving_rows
 from hearthlake.sources.snapshots import read_current, write_snapshot
 
@@ -46,27 +47,53 @@ def find_listings(
     return with_criterion.select(*LISTING_SCHEMA.names, *lineage, "page_id", "position")
 
 
-def merge_listings(listings: DataFrame, root: str, order: Sequence[Column | str]) -> int:
+def merge_listings(
+    listings: DataFrame, root: str, order: Sequence[Column | str], transient: Sequence[str] = ()
+) -> int:
     """Upsert listings into the stored table and return its new version.
 
-    The new rows are deduplicated first. The old version stays as it is, so a lost
-    executor or a failed attempt leaves the table readable.
+    The new rows are deduplicated by ``order`` and written to the shared folder first:
+    the upsert reads them twice and would otherwise extract them twice. Columns that
+    only serve the order are named in ``transient`` and not stored. The old version of
+    the table stays as it is, so a failed attempt leaves it readable.
     """
-    new = dedup_keep_last(with_merge_key(listings), order, MERGE_KEY)
-    current = read_current(listings.sparkSession, root)
+    spark = listings.sparkSession
+    latest = dedup_keep_last(with_merge_key(listings), order, MERGE_KEY).drop(*transient)
+    staged = shared_folder(spark)
+    latest.write.parquet(staged)
+    new = spark.read.schema(latest.schema).parquet(staged)
+    current = read_current(spark, root)
     if current is None:
         return write_snapshot(new, root, "CREATE")
     return write_snapshot(upsert_by_key(current, new), root, "MERGE")
 
 
 def publish(
+    spark: SparkSession, root: str, serving_root: str, cities: str | Sequence[str] | None = None
+) -> DataFrame:
+    """Replace the serving table by the current rows of the stored table; returns it as read back.
+
+    The merge leaves one row per key, so this is a scan, a filter and a write.
+    """
+    write_snapshot(serving_rows(read_current(spark, root), cities=cities), serving_root, "PUBLISH")
+    return read_current(spark, serving_root)
+
+
+def refresh(
+    criteria: DataFrame,
+    result_pages: DataFrame,
+    detail_pages: DataFrame,
     root: str,
     serving_root: str,
-    spark,
-    order: Sequence[Column | str],
+    collected_on: str,
+    limit: int = DEFAULT_LINKS_PER_PAGE,
     cities: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Replace the serving table by the current rows of the stored table; returns it as read back."""
-    rows = serving_rows(read_current(spark, root), order, cities)
-    write_snapshot(rows, serving_root, "PUBLISH")
-    return read_current(spark, serving_root)
+    """The whole job for one crawl; returns the serving table, cut to ``cities`` if given.
+
+    Of several finds of one listing in a crawl the one furthest down counts.
+    """
+    found = find_listings(criteria, result_pages, detail_pages, collected_on, limit)
+    lineage = [c for c in found.columns if c.startswith("search_")]
+    merge_listings(found, root, ["page_id", "position", *lineage], ["page_id", "position"])
+    return publish(criteria.sparkSession, root, serving_root, cities)

@@ -16,10 +16,17 @@ JDBC_DRIVER = "org.postgresql.Driver"
 
 
 def serving_rows(
-    current: DataFrame, order: Sequence[Column | str], cities: str | Sequence[str] | None = None, key: str = "url"
+    current: DataFrame,
+    order: Sequence[Column | str] | None = None,
+    cities: str | Sequence[str] | None = None,
+    key: str | None = None,
 ) -> DataFrame:
-    """What the serving table holds: last row per key, the wanted cities, sanitized names."""
-    return sanitize_columns(filter_city(dedup_keep_last(current, order, key), cities))
+    """What the serving table holds: last row per key, the wanted cities, sanitized names.
+
+    Without ``order`` the rows are taken to be unique by key already.
+    """
+    unique = current if order is None else dedup_keep_last(current, order, key)
+    return sanitize_columns(filter_city(unique, cities))
 
 
 def publish_table(df: DataFrame, table: str = SERVING_TABLE) -> None:
