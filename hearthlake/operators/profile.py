@@ -34,10 +34,11 @@ def exact_quantiles(
     """Exact linear-interpolated quantiles of ``column, value``: column, quantile, result.
 
     A sketch brackets each quantile: its rank error is at most 1/accuracy of the rows,
-    so bounds two such steps to either side enclose the true rank. The second pass
-    counts equal values inside the bracket and lumps the rest into one cell below and
-    one above, so each window sees about four steps of the rows at most and no group of
-    raw rows is ever gathered.
+    so bounds two such steps to either side enclose the wanted rank, or miss it by one
+    where a step is less than a row. The second pass counts equal values inside the
+    bracket and lumps the rest into one cell below and one above, which still know the
+    value next to the bracket. Each window sees about four steps of the rows at most
+    and no group of raw rows is ever gathered.
     """
     step = 2.0 / accuracy
     asked = [min(max(q + s, 0.0), 1.0) for q in quantiles for s in (-step, step)]
@@ -67,14 +68,17 @@ def exact_quantiles(
         placed.withColumn("_zone", F.when(value < F.col("lo"), -1).when(value > F.col("hi"), 1).otherwise(0))
         .withColumn("_cell", F.when(F.col("_zone") == 0, value))
         .groupBy("column", "quantile", "rows", "_zone", "_cell")
-        .agg(F.count("*").alias("n"), F.min("value").alias("v"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("v"), F.max("value").alias("top"))
     )
     upto = Window.partitionBy("column", "quantile").orderBy("_zone", "_cell")
     rank = F.col("quantile") * (F.col("rows") - 1)
     ranked = cells.withColumn("end", F.sum("n").over(upto)).withColumn("start", F.col("end") - F.col("n"))
 
     def at(position):
-        return F.max(F.when(position.between(F.col("start"), F.col("end") - 1), F.col("v")))
+        inside = (F.col("_zone") == 0) & position.between(F.col("start"), F.col("end") - 1)
+        last_below = (F.col("_zone") == -1) & (position == F.col("end") - 1)
+        first_above = (F.col("_zone") == 1) & (position == F.col("start"))
+        return F.max(F.when(inside | first_above, F.col("v")).when(last_below, F.col("top")))
 
     found = ranked.groupBy("column", "quantile").agg(
         at(F.floor(rank)).alias("below"),

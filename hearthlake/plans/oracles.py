@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hearthlake.operators import criteria
+from hearthlake.operators import criteria, extract
 from hearthlake.plans import catalog, inputs
 
 VIEWS = {
@@ -124,18 +124,7 @@ def _coordinate_pairs(pattern: str) -> str:
     lambda p: p IS NOT NULL)[1]"""
 
 
-NUMBER_PART = r"([-+]?\d*\.\d+)"
-POSITION = "coalesce(" + ",\n  ".join(
-    _coordinate_pairs(p)
-    for p in [
-        rf"place\?q={NUMBER_PART},{NUMBER_PART}",
-        r"([-+]?\d{1,3}\.\d{4,}),\s*([-+]?\d{1,3}\.\d{4,})",
-        rf'"lat"\s*:\s*{NUMBER_PART}.*?"lng"\s*:\s*{NUMBER_PART}',
-        rf"latitude[\"']\s*:\s*[\"']?{NUMBER_PART}[\"']?.*?longitude[\"']\s*:\s*[\"']?{NUMBER_PART}[\"']?",
-        rf"center={NUMBER_PART},{NUMBER_PART}",
-        rf"@{NUMBER_PART},{NUMBER_PART}",
-    ]
-) + ")"
+POSITION = "coalesce(" + ",\n  ".join(_coordinate_pairs(p) for p in extract.COORDINATE_PATTERNS) + ")"
 VIEWS["details"] = f"""
 SELECT {DETAIL_URL} AS url, {LISTING_AREA} AS dien_tich, {LISTING_PRICE} AS muc_gia, {ADDRESS} AS ia_chi,
   '{catalog.COLLECTED_ON}' AS ngay_ang, {TITLE} AS tieu_e, {POSITION} AS place FROM detail_pages"""

@@ -68,15 +68,15 @@ def test_lookup_sample_and_emit(spark):
 
 
 def test_flatten_records(spark):
-    buy = spark.createDataFrame(
-        [(("1", ((5,),), (["a", "b"], None), "f", 2))],
+    schema = (
         "id string, listing struct<prices:struct<buy:struct<price:int>>>, "
-        "propertyDetails struct<images:array<string>,pdfs:array<string>>, FactId string, `odd name;x` int".replace(
-            "struct<prices:struct<buy:struct<price:int>>>", "struct<prices:struct<price:int>>"
-        ),
+        "propertyDetails struct<images:array<string>,pdfs:array<string>>, FactId string, `odd name;x` int"
     )
-    flat = nested.flatten_records(buy)
-    assert flat.columns == ["id", "listing_prices_price", "propertyDetails_images", "propertyDetails_pdfs", "oddnamex"]
+    record = ("1", (((5,),),), (["a", "b"], None), "f", 2)
+    flat = nested.flatten_records(spark.createDataFrame([record], schema))
+    assert flat.columns == [
+        "id", "propertyDetails_normalizedPrice", "propertyDetails_images", "propertyDetails_pdfs", "oddnamex",
+    ]
     assert tuple(flat.first()) == ("1", 5, '["a","b"]', None, 2)
 
 
