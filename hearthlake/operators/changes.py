@@ -21,8 +21,12 @@ CANDIDATE_COLUMNS = [
 
 
 def existing_semi(existing: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Stored rows whose key is among the candidate ids."""
-    ids = candidates.select(F.col("id").cast("string").alias("_id"))
+    """Stored rows whose key is among the candidate ids.
+
+    The ids are made distinct before the shuffle: the side a semi join looks up cannot
+    be split, so a frequent id must not arrive there row by row.
+    """
+    ids = candidates.select(F.col("id").cast("string").alias("_id")).distinct()
     return existing.join(ids, F.col(MERGE_KEY) == F.col("_id"), "left_semi")
 
 
@@ -33,10 +37,11 @@ def changed_or_new(candidates: DataFrame, existing: DataFrame) -> DataFrame:
     changed; a candidate without fingerprint only counts when that holds or it is new.
 
     Put the other way round, a candidate is left out when its stored row has a
-    fingerprint and this does not differ. That is one anti join: the unchanged
-    candidates are never paired with stored rows and only key and fingerprint of the
-    stored table are shuffled. ``existing`` must hold one row per key, as the upsert
-    leaves it.
+    fingerprint and this does not differ. That is one anti join: unchanged candidates
+    are never paired with stored rows, only key and price of the stored table are read,
+    and a frequent candidate id is split by adaptive execution. ``existing`` must hold
+    one row per key, as the upsert leaves it; with few candidates, cut it by
+    ``existing_semi`` first, which then needs no shuffle of the stored table.
     """
     stored = existing.select(
         F.col(MERGE_KEY).cast("string").alias("_id"),

@@ -119,7 +119,7 @@ def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: st
     bytes of an order become much text, so the orders are spread over the tasks first:
     one small file would otherwise be the work of one task.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, schema)
+    key = (spark.conf.get("spark.app.id"), sf_dir, schema)
     if key in _STORED:
         try:
             return spark.read.schema(schema).parquet(_STORED[key])

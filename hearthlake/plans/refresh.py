@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthlake.functions.keys import MERGE_KEY, with_merge_key
 from hearthlake.functions.text import normalize_url
+from hearthlake.operators.checks import schema_diff
 from hearthlake.operators.columns import LISTING_SCHEMA, attach_lineage
 from hearthlake.operators.criteria import with_search_url
 from hearthlake.operators.dedup import dedup_keep_last
@@ -16,7 +17,7 @@ from hearthlake.operators.extract import DEFAULT_LINKS_PER_PAGE, extract_listing
 from hearthlake.operators.upsert import upsert_by_key
 from hearthlake.session import shared_folder
 from hearthlake.sources.serving import serving_rows
-from hearthlake.sources.snapshots import read_current, write_snapshot
+from hearthlake.sources.snapshots import latest_version, read_current, write_snapshot
 
 
 def find_listings(
@@ -29,13 +30,12 @@ def find_listings(
     """Listings on the result pages of the criteria, each with the criterion it was found by.
 
     Pages are extracted before criteria are joined: a page that several criteria share
-    is read once, and only ids and short rows move.
+    is read once, and only ids and short rows move, never pages.
     """
     wanted = with_search_url(criteria)
     pages = result_pages.select("page_id", normalize_url(F.col("url")).alias("search_url"))
     searched = pages.join(wanted, "search_url").drop("search_url")
-    requested = result_pages.join(searched.select("page_id"), "page_id", "left_semi")
-    found = extract_listings(requested, detail_pages, collected_on, limit).join(searched, "page_id")
+    found = extract_listings(result_pages, detail_pages, collected_on, limit).join(searched, "page_id")
     with_criterion = attach_lineage(
         found,
         F.coalesce("city", F.lit("")),
@@ -54,8 +54,9 @@ def merge_listings(
 
     The new rows are deduplicated by ``order`` and written to the shared folder first:
     the upsert reads them twice and would otherwise extract them twice. Columns that
-    only serve the order are named in ``transient`` and not stored. The old version of
-    the table stays as it is, so a failed attempt leaves it readable.
+    only serve the order are named in ``transient`` and not stored. A column may come or
+    go, but not change its type. The old version of the table stays as it is, so a
+    failed attempt leaves it readable; without new rows it stays the current one.
     """
     spark = listings.sparkSession
     latest = dedup_keep_last(with_merge_key(listings), order, MERGE_KEY).drop(*transient)
@@ -65,6 +66,11 @@ def merge_listings(
     current = read_current(spark, root)
     if current is None:
         return write_snapshot(new, root, "CREATE")
+    changed = [name for name, *_, status in schema_diff(current, new) if status == "changed"]
+    if changed:
+        raise ValueError(f"columns of another type than stored: {', '.join(changed)}")
+    if new.isEmpty():
+        return latest_version(spark, root)
     return write_snapshot(upsert_by_key(current, new), root, "MERGE")
 
 

@@ -85,3 +85,16 @@ def test_two_crawls(spark, tmp_path):
     log = snapshots.history(spark, bronze).orderBy("version").collect()
     assert [(r.version, r.operation) for r in log] == [(0, "CREATE"), (1, "MERGE")]
     assert snapshots.read_current(spark, bronze).count() == 3
+
+
+def test_merge_refuses_a_changed_type_and_ignores_an_empty_crawl(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    rows = spark.createDataFrame([("u", 1, "a")], "url string, seq int, v string")
+    assert refresh.merge_listings(rows, root, ["seq"]) == 0
+    assert refresh.merge_listings(rows.filter("false"), root, ["seq"]) == 0
+    with pytest.raises(ValueError, match="v"):
+        refresh.merge_listings(rows.withColumn("v", rows.seq), root, ["seq"])
+    wider = spark.createDataFrame([("w", 1, 2)], "url string, seq int, extra int")
+    assert refresh.merge_listings(wider, root, ["seq"]) == 1
+    stored = snapshots.read_current(spark, root)
+    assert sorted(((r.url, r.v, r.extra) for r in stored.collect()), key=str) == [("u", "a", None), ("w", None, 2)]
