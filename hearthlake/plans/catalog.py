@@ -301,6 +301,17 @@ def upsert_new_columns(spark, sf_dir):
     return merged.select(keys.MERGE_KEY, "seq", "muc_gia", "dien_tich")
 
 
+@query
+def schema_diff(spark, sf_dir):
+    """A crawl that comes as JSON, its schema inferred from all rows, against the stored table."""
+    folder = shared_folder(spark)
+    snapshots.write_snapshot(first_crawl(spark, sf_dir).drop("longitude"), f"{folder}/table")
+    later = second_crawl(spark, sf_dir).withColumn("search_radius", F.lit("none")).drop("tieu_e")
+    files.write_json_gzip(later, f"{folder}/crawl")
+    crawl = files.read_json_folder(spark, f"{folder}/crawl")
+    return checks.schema_diff_frame(spark, snapshots.read_current(spark, f"{folder}/table"), crawl)
+
+
 @query
 def criteria_urls(spark, sf_dir):
     return criteria.with_search_url(inputs.searches(spark, sf_dir)).select("search_id", "search_url")

@@ -116,8 +116,8 @@ def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: st
     """A table the jobs read, derived from the orders and written once per application.
 
     It lies in the shared folder, as a crawler or an earlier publish leaves it. Few
-    bytes of an order become much text, so the orders are spread over the tasks first:
-    one small file would otherwise be the work of one task.
+    bytes of an order become much text, so orders in fewer splits than a shuffle has
+    tasks are spread first; a large table has enough splits and is not shuffled.
     """
     key = (spark.conf.get("spark.app.id"), sf_dir, schema)
     if key in _STORED:
@@ -129,8 +129,10 @@ def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: st
     folder = shared_folder(spark)
     orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if orders.rdd.getNumPartitions() < tasks:
+        orders = orders.repartition(tasks)
     others = {t: given(spark, sf_dir, t) for t in joined}
-    _derived(sql, orders=orders.repartition(tasks), **others).write.parquet(folder)
+    _derived(sql, orders=orders, **others).write.parquet(folder)
     _STORED[key] = folder
     return spark.read.schema(schema).parquet(folder)
 

@@ -209,6 +209,13 @@ WHERE "propertyDetails_propertyId" IN (SELECT id FROM candidates)""",
     "upsert_new_columns": """SELECT "propertyDetails_propertyId", seq, muc_gia, NULL::VARCHAR AS dien_tich FROM stored_first
 WHERE url NOT IN (SELECT url FROM stored_second)
 UNION ALL SELECT "propertyDetails_propertyId", seq, NULL, dien_tich FROM stored_second""",
+    "schema_diff": """SELECT * FROM (VALUES
+  ('url', 'string', 'string', 'same'), ('muc_gia', 'string', 'string', 'same'), ('dien_tich', 'string', 'string', 'same'),
+  ('ia_chi', 'string', 'string', 'same'), ('ngay_ang', 'string', 'string', 'same'), ('tieu_e', 'string', NULL, 'removed'),
+  ('latitude', 'double', 'double', 'same'), ('longitude', NULL, 'double', 'added'), ('search_city', 'string', 'string', 'same'),
+  ('search_property_type', 'string', 'string', 'same'), ('search_rent_or_buy', 'string', 'string', 'same'),
+  ('search_radius', 'int', 'string', 'changed'), ('run_version', 'int', 'bigint', 'changed'), ('seq', 'bigint', 'bigint', 'same')
+) AS diff("column", existing_type, new_type, status)""",
     "criteria_urls": f"""WITH cities(slug, code) AS (VALUES {values(criteria.city_codes())}),
   types(name, category) AS (VALUES {values(criteria.CATEGORIES)}), actions(name, action) AS (VALUES {values(criteria.ACTIONS)})
 SELECT search_id, '{SITE}/' || COALESCE(action, 'mua-ban') || '-nha-dat-' || COALESCE(code || '-', '') || COALESCE(category, 'ci38') || '.html' AS search_url

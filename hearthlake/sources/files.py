@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 from hearthlake.operators.columns import PARQUET_SPECIAL, rename_columns
 
 
+def object_path(bucket: str, key: str) -> str:
+    """Path of an object-store folder as Spark reads it."""
+    return f"s3a://{bucket}/{key.lstrip('/')}"
+
+
 def read_json_folder(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """JSON lines of a folder, plain or gzipped, names without Parquet-special characters.
 
@@ -29,11 +34,11 @@ def write_json_gzip(df: DataFrame, path: str) -> None:
     df.write.json(path, compression="gzip")
 
 
-def read_parquet_union(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files at any depth under ``path``; a column a file lacks is NULL there."""
-    return (
-        spark.read.option("mergeSchema", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-    )
+def read_parquet_union(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """All Parquet files at any depth under ``path``; a column a file lacks is NULL there.
+
+    Without ``schema`` Spark merges the schemas of all file footers in a job of its own.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    reader = reader.option("mergeSchema", True) if schema is None else reader.schema(schema)
+    return reader.parquet(path)

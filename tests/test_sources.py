@@ -54,6 +54,12 @@ def test_parquet_union_of_nested_folders(spark, tmp_path):
     spark.createDataFrame([(2, 2.5)], "n int, d double").write.parquet(str(tmp_path / "y" / "version=1"))
     got = files.read_parquet_union(spark, str(tmp_path)).select("n", "s", "d").orderBy("n").collect()
     assert [tuple(r) for r in got] == [(1, "a", None), (2, None, 2.5)]
+    known = files.read_parquet_union(spark, str(tmp_path), "s string, n int").orderBy("n")
+    assert [tuple(r) for r in known.collect()] == [("a", 1), (None, 2)]
+
+
+def test_object_path():
+    assert files.object_path("lake", "/bronze/property") == files.object_path("lake", "bronze/property")
 
 
 def test_snapshots(spark, tmp_path):
