@@ -13,7 +13,8 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str = MERGE_KEY) ->
 
     ``source`` must hold one row per key (see ``dedup_keep_last``). Only the keys of
     the source take part in the join; when they are small enough Spark broadcasts
-    them and the target is not shuffled at all. A column one side lacks is NULL there.
+    them and the target is not shuffled at all. The source is read twice, so write it out
+    first when it is costly to compute. A column one side lacks is NULL there.
     """
     kept = target.join(source.select(key), key, "left_anti")
     return kept.select(*target.columns).unionByName(source, allowMissingColumns=True)
