@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import byte_bpe, exact_dedup, mixing, quality_rules, shards, simhash, url_filter
+from hearthlake.llm import byte_bpe, exact_dedup, mixing, quality_rules, shards, simhash, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        token_store.op1_token_files,
         shards.op2_proportional_interleave,
         quality_rules.op3_quality_cascade,
         byte_bpe.op6_byte_bpe,
