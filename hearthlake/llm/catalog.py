@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import byte_bpe, exact_dedup, main_text, mixing, quality_rules, shards, simhash, token_store, url_filter
+from hearthlake.llm import byte_bpe, exact_dedup, main_text, mixing, passages, quality_rules, shards, simhash, token_store, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_store.op1_token_files,
         shards.op2_proportional_interleave,
         quality_rules.op3_quality_cascade,
+        passages.op4_compact_windows,
         main_text.op5_main_text,
         byte_bpe.op6_byte_bpe,
         mixing.op7_curriculum_mix,
