@@ -52,6 +52,13 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder as Parquet, for what is wide or read by columns."""
+    folder = shared_folder(frame.sparkSession)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def seeded(seed: int, *names: str) -> Column:
     """A reproducible shuffle key: 32 hexadecimal digits that depend on the seed and the named columns."""
     parts = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names]
