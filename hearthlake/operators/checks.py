@@ -20,6 +20,22 @@ def schema_diff(existing: DataFrame, new: DataFrame) -> list[tuple]:
     return rows
 
 
+#: Number types from narrow to wide; a value of one fits every later one of its row.
+WIDENING = [["tinyint", "smallint", "int", "bigint"], ["float", "double"]]
+
+
+def widened(df: DataFrame, other: DataFrame) -> DataFrame:
+    """The frame with its numbers as wide as the other frame's columns of the same name."""
+    theirs = {f.name: f.dataType.simpleString() for f in other.schema.fields}
+    casts = {}
+    for field in df.schema.fields:
+        mine, wanted = field.dataType.simpleString(), theirs.get(field.name)
+        for row in WIDENING:
+            if mine in row and wanted in row and row.index(wanted) > row.index(mine):
+                casts[field.name] = F.col(f"`{field.name}`").cast(wanted)
+    return df.withColumns(casts) if casts else df
+
+
 def schema_diff_frame(spark: SparkSession, existing: DataFrame, new: DataFrame) -> DataFrame:
     return spark.createDataFrame(schema_diff(existing, new), DIFF_SCHEMA)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,10 +48,10 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def arrays_to_json(df: DataFrame) -> DataFrame:
-    """Array columns as JSON text, the others untouched."""
+    """Array columns as JSON text, the others untouched. A NULL field of a struct is written as null."""
     return df.select(
         *[
-            F.to_json(f"`{f.name}`").alias(f.name)
+            F.to_json(f"`{f.name}`", {"ignoreNullFields": "false"}).alias(f.name)
             if isinstance(f.dataType, T.ArrayType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields
@@ -63,8 +65,8 @@ def unify_price(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed(found, NORMALIZED_PRICE) if found else df
 
 
-def drop_bulky(df: DataFrame) -> DataFrame:
-    return df.drop(*BULKY_COLUMNS)
+def drop_bulky(df: DataFrame, names: Sequence[str] = BULKY_COLUMNS) -> DataFrame:
+    return df.drop(*names)
 
 
 def flatten_records(df: DataFrame) -> DataFrame:
@@ -74,12 +76,14 @@ def flatten_records(df: DataFrame) -> DataFrame:
 
 
 def is_json(text: Column) -> Column:
-    """Whether the text is one valid JSON value, scalars included.
+    """Whether the text is one valid JSON value, scalars included, of any length; NULL text is not.
 
-    The parser ignores what follows the first value. A text that is valid both as
-    an array element and as an object member has nothing after it. Objects that
-    repeat a key count as invalid unless ``spark.sql.variant.allowDuplicateKeys``.
+    The parser ignores what follows the first value. A text that is the only element
+    of an array and the only member of an object has nothing after it. The parser
+    also takes strings in single quotes, which JSON doesn't have: these are found by
+    what is left without escapes and without strings in double quotes.
     """
-    element = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return element.isNotNull() & member.isNotNull()
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*+"', "")
+    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    members = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}"))))
+    return F.coalesce((elements == 1) & (members == 1) & ~bare.contains("'"), F.lit(False))

@@ -30,7 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ORDER = ["run_version", "seq"]
-LINKS = 2
+FIRST_LINKS = 2
+LINKS = 20
 COLLECTED_ON = "2024-01-01"
 FIRST_CRAWL_UNTIL = "1999-01-01"
 SECOND_CRAWL_FROM = "1997-01-01"
@@ -181,6 +182,17 @@ def merge_and_publish(spark, sf_dir):
     return published.select(keys.MERGE_KEY.lower(), "url", "muc_gia", "search_city", "seq")
 
 
+@query
+def merge_keeps_columns(spark, sf_dir):
+    """A stored table with a bulky column, merged with a crawl without it and published."""
+    folder = shared_folder(spark)
+    first = first_crawl(spark, sf_dir).withColumn("propertyDetails_images", F.concat(F.lit("image of "), "seq"))
+    refresh.merge_listings(first, f"{folder}/bronze", ORDER)
+    refresh.merge_listings(second_crawl(spark, sf_dir), f"{folder}/bronze", ORDER)
+    published = refresh.publish(spark, f"{folder}/bronze", f"{folder}/serving")
+    return published.select(keys.MERGE_KEY.lower(), "seq", F.col("propertydetails_images").alias("images"))
+
+
 # Nested records.
 
 
@@ -496,7 +508,7 @@ def truncate_labels(spark, sf_dir):
 
 @query
 def links_per_page(spark, sf_dir):
-    return extract.links_per_page(inputs.detail_pages(spark, sf_dir), LINKS)
+    return extract.links_per_page(inputs.detail_pages(spark, sf_dir), FIRST_LINKS)
 
 
 @query

@@ -109,17 +109,16 @@ def _derived(sql: str, **frames: DataFrame) -> DataFrame:
     return next(iter(frames.values())).sparkSession.sql(text, **frames)
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], str] = {}  # by application, tables and view
 
 
-def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: str) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str, view: str, sql: str, schema: str, *joined: str) -> DataFrame:
     """A table the jobs read, derived from the orders and written once per application.
 
     It lies in the shared folder, as a crawler or an earlier publish leaves it. Few
-    bytes of an order become much text, so orders in fewer splits than a shuffle has
-    tasks are spread first; a large table has enough splits and is not shuffled.
+    bytes of an order become much text, so the orders are spread over a shuffle's tasks.
     """
-    key = (spark.conf.get("spark.app.id"), sf_dir, schema)
+    key = (spark.conf.get("spark.app.id"), sf_dir, view)
     if key in _STORED:
         try:
             return spark.read.schema(schema).parquet(_STORED[key])
@@ -128,9 +127,7 @@ def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: st
                 raise
     folder = shared_folder(spark)
     orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if orders.rdd.getNumPartitions() < tasks:
-        orders = orders.repartition(tasks)
+    orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     others = {t: given(spark, sf_dir, t) for t in joined}
     _derived(sql, orders=orders, **others).write.parquet(folder)
     _STORED[key] = folder
@@ -138,11 +135,11 @@ def _stored(spark: SparkSession, sf_dir: str, sql: str, schema: str, *joined: st
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, LISTINGS, LISTING_SCHEMA, "customer", "nation", "region")
+    return _stored(spark, sf_dir, "listings", LISTINGS, LISTING_SCHEMA, "customer", "nation", "region")
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir, DETAIL_PAGES, PAGE_SCHEMA)
+    return _stored(spark, sf_dir, "detail_pages", DETAIL_PAGES, PAGE_SCHEMA)
 
 
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:

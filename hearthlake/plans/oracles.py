@@ -178,6 +178,8 @@ UNION ALL SELECT 1, 'OVERWRITE' FROM second_crawl HAVING COUNT(*) > 0""",
     "read_current_table": f"""SELECT CAST(seq AS VARCHAR) AS id, TRY_CAST(muc_gia AS BIGINT) AS "propertyDetails_normalizedPrice",
   {KEY} AS "propertyDetails_propertyId", dien_tich AS "propertyDetails_rooms", tieu_e AS oddnamex FROM listings""",
     "publish_full_refresh": f"SELECT {SERVING_COLUMNS} FROM latest WHERE search_city IN {CITIES}",
+    "merge_keeps_columns": """SELECT "propertyDetails_propertyId" AS propertydetails_propertyid, seq,
+  CASE WHEN url NOT IN (SELECT url FROM stored_second) THEN 'image of ' || CAST(seq AS VARCHAR) END AS images FROM merged""",
     "merge_and_publish": f"""SELECT "propertyDetails_propertyId" AS propertydetails_propertyid, url, muc_gia, search_city, seq
 FROM merged WHERE search_city IN {CITIES}""",
     "flatten_json": f"""SELECT CAST(seq AS VARCHAR) AS id, TRY_CAST(muc_gia AS BIGINT) AS "propertyDetails_normalizedPrice",
@@ -274,7 +276,7 @@ FROM trends ORDER BY date DESC LIMIT 10""",
     "normalize_url": f"SELECT page_id, {DETAIL_URL} AS url FROM detail_pages",
     "truncate_labels": """SELECT seq, CASE WHEN length(search_property_type) > 8 THEN search_property_type[:8] || '...' ELSE search_property_type END AS label
 FROM listings""",
-    "links_per_page": "SELECT * FROM links",
+    "links_per_page": f"SELECT * FROM links WHERE position < {catalog.FIRST_LINKS}",
     "page_titles": f"SELECT page_id, {plain("regexp_extract(html, '<h1[^>]*>.*?</h1>', 0, 's')")} AS title FROM pages",
     "detail_titles": f"SELECT page_id, {TITLE} AS title FROM detail_pages",
     "extract_address": f"SELECT page_id, {ADDRESS} AS address FROM detail_pages",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthlake.functions.keys import MERGE_KEY, with_merge_key
 from hearthlake.functions.text import normalize_url
-from hearthlake.operators.checks import schema_diff
+from hearthlake.operators.checks import schema_diff, verify_counts, widened
 from hearthlake.operators.columns import LISTING_SCHEMA, attach_lineage
 from hearthlake.operators.criteria import with_search_url
 from hearthlake.operators.dedup import dedup_keep_last
@@ -54,8 +54,11 @@ def merge_listings(
 
     The new rows are deduplicated by ``order`` and written to the shared folder first:
     the upsert reads them twice and would otherwise extract them twice. Columns that
-    only serve the order are named in ``transient`` and not stored. A column may come or
-    go, but not change its type. The old version of the table stays as it is, so a
+    only serve the order are named in ``transient`` and not stored. The stored table keeps
+    all its columns, bulky ones too. A column may come or go; numbers take the wider of
+    both types, any other change of type is refused. This form writes the whole table
+    anew, at the cost of its size; where the catalog has a format with transactions,
+    ``upsert.merge_into`` touches the changed rows only. The old version of the table stays as it is, so a
     failed attempt leaves it readable; without new rows it stays the current one.
     """
     spark = listings.sparkSession
@@ -63,9 +66,17 @@ def merge_listings(
     staged = shared_folder(spark)
     latest.write.parquet(staged)
     new = spark.read.schema(latest.schema).parquet(staged)
-    current = read_current(spark, root)
+    try:
+        return _merge_staged(spark, new, root)
+    finally:
+        _delete(spark, staged)
+
+
+def _merge_staged(spark: SparkSession, new: DataFrame, root: str) -> int:
+    current = read_current(spark, root, without=())
     if current is None:
         return write_snapshot(new, root, "CREATE")
+    current, new = widened(current, new), widened(new, current)
     changed = [name for name, *_, status in schema_diff(current, new) if status == "changed"]
     if changed:
         raise ValueError(f"columns of another type than stored: {', '.join(changed)}")
@@ -74,15 +85,28 @@ def merge_listings(
     return write_snapshot(upsert_by_key(current, new), root, "MERGE")
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    """Remove a staged folder through the file system it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish(
     spark: SparkSession, root: str, serving_root: str, cities: str | Sequence[str] | None = None
 ) -> DataFrame:
     """Replace the serving table by the current rows of the stored table; returns it as read back.
 
-    The merge leaves one row per key, so this is a scan, a filter and a write.
+    The merge leaves one row per key, so this is a scan, a filter and a write. All stored
+    columns are published. The rows read back are counted against those that should be
+    there, and a difference ends the job.
     """
-    write_snapshot(serving_rows(read_current(spark, root), cities=cities), serving_root, "PUBLISH")
-    return read_current(spark, serving_root)
+    rows = serving_rows(read_current(spark, root, without=()), cities=cities)
+    write_snapshot(rows, serving_root, "PUBLISH")
+    published = read_current(spark, serving_root, without=())
+    counts = verify_counts(rows, published).first()
+    if not counts.matches:
+        raise RuntimeError(f"published {counts.actual_count} of {counts.expected_count} rows")
+    return published
 
 
 def refresh(
@@ -97,8 +121,12 @@ def refresh(
 ) -> DataFrame:
     """The whole job for one crawl; returns the serving table, cut to ``cities`` if given.
 
-    Of several finds of one listing in a crawl the one furthest down counts.
+    Of several finds of one listing in a crawl the one furthest down counts. Of several
+    criteria with one search url the last counts, so a listing isn't multiplied by them.
     """
+    names = ["city", "propertyType", "rentOrBuy", "radius"]
+    last = [F.coalesce(c, F.lit(0) if c == "radius" else F.lit("")) for c in names]
+    criteria = dedup_keep_last(with_search_url(criteria), last, "search_url").select(*criteria.columns)
     found = find_listings(criteria, result_pages, detail_pages, collected_on, limit)
     lineage = [c for c in found.columns if c.startswith("search_")]
     merge_listings(found, root, ["page_id", "position", *lineage], ["page_id", "position"])

@@ -28,9 +28,9 @@ SERVING_REPORTS = [name for name in REPORTS if name != "top_expensive_areas"]
 
 
 def run_reports(
-    listings: DataFrame, names: Iterable[str] = SERVING_REPORTS, limit: int | None = 10
+    listings: DataFrame, names: Iterable[str] = SERVING_REPORTS, limit: int | None = None
 ) -> dict[str, DataFrame]:
-    """The named reports over the serving table, each cut to its first ``limit`` rows.
+    """The named reports over the serving table, each cut to its first ``limit`` rows if that is given.
 
     Nothing runs until a result is read, so one failing report does not stop the others.
     """

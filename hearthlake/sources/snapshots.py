@@ -8,11 +8,13 @@ catalog has a table format with transactions, use that and ``upsert.merge_into``
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.operators.nested import drop_bulky
+from hearthlake.operators.nested import BULKY_COLUMNS, drop_bulky
 
 HISTORY_SCHEMA = "version int, timestamp timestamp, operation string"
 
@@ -50,7 +52,7 @@ def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{root}/version={version}")
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The latest version without the bulky nested columns; None when there is no table yet."""
+def read_current(spark: SparkSession, root: str, without: Sequence[str] = BULKY_COLUMNS) -> DataFrame | None:
+    """The latest version without the named columns, by default the bulky nested ones; None when there is no table yet."""
     version = latest_version(spark, root)
-    return None if version is None else drop_bulky(read_version(spark, root, version))
+    return None if version is None else drop_bulky(read_version(spark, root, version), without)

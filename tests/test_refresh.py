@@ -98,3 +98,14 @@ def test_merge_refuses_a_changed_type_and_ignores_an_empty_crawl(spark, tmp_path
     assert refresh.merge_listings(wider, root, ["seq"]) == 1
     stored = snapshots.read_current(spark, root)
     assert sorted(((r.url, r.v, r.extra) for r in stored.collect()), key=str) == [("u", "a", None), ("w", None, 2)]
+
+
+def test_merge_and_publish_keep_all_columns_and_widen_numbers(spark, tmp_path):
+    root, serving = f"{tmp_path}/bronze", f"{tmp_path}/serving"
+    first = spark.createDataFrame([("a", "1", 1, "x"), ("b", "2", 1, "y")], "url string, `Mức giá` string, seq int, propertyDetails_images string")
+    later = spark.createDataFrame([("b", "3", 2)], "url string, `Mức giá` string, seq bigint")
+    refresh.merge_listings(first, root, ["seq"])
+    refresh.merge_listings(later, root, ["seq"])
+    published = refresh.publish(spark, root, serving)
+    assert {(r.url, r.seq, r.propertydetails_images) for r in published.collect()} == {("a", 1, "x"), ("b", 2, None)}
+    assert published.schema["seq"].dataType.simpleString() == "bigint"

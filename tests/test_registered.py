@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as registered
+from hearthlake.plans import catalog, oracles
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,10 +21,10 @@ def plan(frame):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracles.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_agrees_with_oracle(spark, db, name):
     assert differences(spark, db, name, SF_DIR) == []
 
@@ -33,7 +34,7 @@ def test_entry(spark):
     assert frame.columns[0] == "city" and frame.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_cross_join_and_no_python_worker(spark, name):
     text = plan(registered.queries()[name](spark, SF_DIR))
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|ArrowEval|BatchEvalPython|MapInPandas", text)
