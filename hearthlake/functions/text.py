@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ SITE = "https://nhadat247.com.vn"
 LABEL_TAIL = "..."
 
 ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+VOID_TAG = r"(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)\b|^<[^>]*/>"
 # All characters Unicode counts as white space, and the four separators below the blank.
 WHITE_SPACE = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -19,6 +21,11 @@ WHITE_SPACE = (
 )
 # Stands for a removed tag while entities are decoded; not allowed in HTML text.
 TAG_MARK = "\u0001"
+# The HTML 5 names that end in a semicolon with what they stand for, as the text of a map; short names are met most and come first.
+ENTRY_MARK, NAME_MARK = "\u0002", "\u0003"
+ENTITIES = ENTRY_MARK.join(f"{name[:-1]}{NAME_MARK}{found}" for name, found in sorted(html5.items(), key=lambda e: len(e[0])) if name.endswith(";"))
+# Numbers 0x80 to 0x9F mean what Windows-1252 has there, or themselves.
+WINDOWS = "".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0))
 
 
 def strip(text: Column) -> Column:
@@ -56,19 +63,26 @@ def normalize_url(url: Column, site: str = SITE) -> Column:
     return F.when(url == "", url).otherwise(absolute_url(strip(url), site))
 
 
-def _entity_codepoint(name: Column) -> Column:
-    named = F.expr("map(" + ", ".join(f"'{n}', {c}" for n, c in name2codepoint.items()) + ")")
-    return (
-        F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).try_cast("int"))
-        .when(name.startswith("#"), F.substring(name, 2, 7).try_cast("int"))
-        .otherwise(F.try_element_at(named, name))
-    )
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, also where the body names it often."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _character(codepoint: Column) -> Column:
     usable = codepoint.between(1, 0xD7FF) | codepoint.between(0xE000, 0x10FFFF)
     safe = F.when(usable, codepoint).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    shown = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+    return F.when(codepoint.between(0x80, 0x9F), F.substr(F.lit(WINDOWS), codepoint - 0x7F, F.lit(1))).otherwise(shown)
+
+
+def _referenced(name: Column) -> Column:
+    """What a character reference stands for, NULL for a name that HTML doesn't have."""
+    named = F.str_to_map(F.lit(ENTITIES), F.lit(ENTRY_MARK), F.lit(NAME_MARK))
+    return (
+        F.when(name.rlike("^#[xX]"), let(F.conv(F.substring(name, 3, 6), 16, 10).try_cast("int"), _character))
+        .when(name.startswith("#"), let(F.substring(name, 2, 7).try_cast("int"), _character))
+        .when(name != "", F.try_element_at(named, name))
+    )
 
 
 def unescape(text: Column) -> Column:
@@ -76,13 +90,8 @@ def unescape(text: Column) -> Column:
 
     def decode(piece: Column, position: Column) -> Column:
         name = F.regexp_extract(piece, ENTITY, 1)
-        codepoint = _entity_codepoint(name)
-        rest = F.substr(piece, F.length(name) + 2)
-        return (
-            F.when(position == 0, piece)
-            .when(codepoint.isNull(), F.concat(F.lit("&"), piece))
-            .otherwise(F.concat(_character(codepoint), rest))
-        )
+        found = F.concat(_referenced(name), F.substr(piece, F.length(name) + 2))
+        return F.when(position == 0, piece).otherwise(F.coalesce(found, F.concat(F.lit("&"), piece)))
 
     return F.array_join(F.transform(F.split(text, "&"), decode), "")
 
@@ -101,3 +110,78 @@ def raw_text_of(markup: Column) -> Column:
 def unquote(attribute: Column) -> Column:
     """Value of an attribute as written, with or without quotes."""
     return unescape(F.regexp_replace(attribute, "^[\"']|[\"']$", ""))
+
+
+def elements(markup: Column, tag: str, opening: str) -> Column:
+    """All elements of the name whose start tag matches ``opening``, in page order, nested ones too.
+
+    An element ends where its start and end tags balance; if they never do, at the first
+    end tag; without one it is left out. NULL where no start tag matches.
+    """
+    def balanced(acc: Column, sign: Column) -> Column:
+        open_, places = acc["open"] + sign, acc["places"] + 1
+        end = F.when((acc["end"] == 0) & (open_ == 0), places).otherwise(acc["end"])
+        return F.struct(open_.alias("open"), places.alias("places"), end.alias("end"))
+
+    def of_pieces(pieces: Column) -> Column:
+        signs = F.transform(
+            pieces,
+            lambda p: F.when(p.rlike(rf"(?i)^</{tag}\b"), F.lit(-1)).when(p.rlike(rf"(?i)^<{tag}\b"), F.lit(1)).otherwise(F.lit(0)),
+        )
+
+        def at(signs: Column, i: Column) -> Column:
+            def cut(end: Column) -> Column:
+                body = F.array_join(F.slice(pieces, i + 1, end - 1), "")
+                return F.when(end > 0, F.concat(body, F.regexp_extract(F.get(pieces, i + end - 1), "^[^>]*>?", 0)))
+
+            rest = F.slice(signs, i + 1, F.size(signs))
+            none = F.struct(*[F.lit(0).alias(n) for n in ("open", "places", "end")])
+            end = F.aggregate(rest, none, balanced)["end"]
+            first = F.array_position(rest, F.lit(-1)).cast("int")
+            return let(F.when(end > 0, end).otherwise(first), cut)
+
+        starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: F.get(pieces, i).rlike("^" + opening))
+        return let(signs, lambda s: F.filter(F.transform(starts, lambda i: at(s, i)), lambda e: e.isNotNull()))
+
+    found = let(F.split(markup, rf"(?i)(?=</?{tag}\b)"), of_pieces)
+    return F.when(markup.rlike(opening), found)
+
+
+def around(markup: Column, label: str) -> Column:
+    """Text of the innermost element that directly holds the first text with the label, of all if none does; NULL without the label.
+
+    Start and end tags are balanced on both sides of the label, whatever their names.
+    """
+
+    def of_pieces(pieces: Column) -> Column:
+        signs = F.transform(
+            pieces,
+            lambda p: F.when(p.startswith("</"), F.lit(-1))
+            .when(p.rlike(VOID_TAG) | ~p.rlike("^<[a-zA-Z]"), F.lit(0))
+            .otherwise(F.lit(1)),
+        )
+        holds = F.transform(pieces, lambda p: F.regexp_replace(p, "^<[^>]*>?", "").rlike("(?iU)" + label))
+
+        def steps(wanted: int) -> Callable[[Column, Column], Column]:
+            def step(acc: Column, sign: Column) -> Column:
+                open_ = acc["open"] + sign
+                places = F.when(acc["done"], acc["places"]).otherwise(acc["places"] + 1)
+                return F.struct(open_.alias("open"), places.alias("places"), (acc["done"] | (open_ == wanted)).alias("done"))
+
+            return step
+
+        start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("places"), F.lit(False).alias("done"))
+
+        def of_place(place: Column) -> Column:
+            def of_signs(signs: Column) -> Column:
+                before = F.aggregate(F.reverse(F.slice(signs, 1, place)), start, steps(1))["places"]
+                after = F.aggregate(F.slice(signs, place + 1, F.size(signs)), start, steps(-1))
+                kept = before + after["places"] - F.when(after["done"], 1).otherwise(0)
+                return raw_text_of(F.array_join(F.slice(pieces, place - before + 1, kept), ""))
+
+            return F.when(place > 0, let(signs, of_signs))
+
+        return let(F.array_position(holds, F.lit(True)).cast("int"), of_place)
+
+    found = let(F.split(markup, "(?=</?[a-zA-Z])"), of_pieces)
+    return F.when(markup.rlike("(?iU)" + label), found)

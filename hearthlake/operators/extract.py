@@ -2,8 +2,8 @@
 
 A stored page is a row ``page_id, url, html``; ``html`` is NULL when the fetch failed.
 Every field is a column expression over the whole page, so extraction is one
-shuffle-free pass. Markup is matched by patterns: an element ends at the first closing
-tag of its name, and attribute values do not contain ``>``. Comments, scripts and
+shuffle-free pass. Markup is matched by patterns; spans and divs end where their tags
+balance, headings at the first closing tag, and attribute values do not contain ``>``. Comments, scripts and
 styles are removed before elements are looked for; the patterns that are meant for the
 raw page (coordinates, blocking, the last area fallback) see it whole.
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthlake.functions.text import absolute_url, normalize_url, raw_text_of, strip, text_of, unquote
+from hearthlake.functions.text import absolute_url, around, elements, normalize_url, raw_text_of, strip, text_of, unquote
 from hearthlake.operators.columns import LISTING_SCHEMA, conform
 
 # Texts and patterns that decide what is found.
@@ -56,20 +56,19 @@ QUOTED = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 NOT_MARKUP = r"(?is)<(?:!--.*?--|(script|style)\b.*?</\1\s*)>"
 FIRST_H1 = r"(?is)<h1\b[^>]*>.*?</h1\s*>"
 FIRST_TITLE = r"(?is)<title\b[^>]*>.*?</title\s*>"
-ANY_SPAN = r"(?is)<span\b[^>]*>.*?</span\s*>"
+ANY_SPAN = r"(?is)<span\b[^>]*>"
 LINK = rf"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*{QUOTED}"
 VALUE = rf"(?is)\svalue\s*=\s*{QUOTED}"
-LABELLED_TEXT = rf"(?isU)<(\w+)\b[^>]*>[^<]*{AREA_LABEL}.*?</\1\s*>"
 
 
-def _element(tag: str, css_class: str) -> str:
-    """An element whose class attribute contains the given pattern."""
-    return rf"""(?is)<{tag}\s(?:[^>]*?\s)?class\s*=\s*["'][^"'>]*?(?:{css_class})[^>]*>.*?</{tag}\s*>"""
+def _start(tag: str, css_class: str) -> str:
+    """A start tag whose class attribute contains the given pattern."""
+    return rf"""(?is)<{tag}\s(?:[^>]*?\s)?class\s*=\s*["'][^"'>]*?(?:{css_class})[^>]*>"""
 
 
-DESCRIPTION_SPAN = _element("span", DESCRIPTION_CLASS)
-AREA_ITEM = _element("div", AREA_ITEM_CLASS)
-AREA_VALUE_SPAN = _element("span", AREA_VALUE_CLASS)
+DESCRIPTION_SPAN = _start("span", DESCRIPTION_CLASS)
+AREA_ITEM = _start("div", AREA_ITEM_CLASS)
+AREA_VALUE_SPAN = _start("span", AREA_VALUE_CLASS)
 PRICE_INPUT = rf"""(?is)<input\s(?:[^>]*?\s)?class\s*=\s*["']?(?:[^"'>]*\s)?{PRICE_CLASS}(?=[\s"'/>])[^>]*>"""
 
 
@@ -104,26 +103,26 @@ def drop_blocked_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col("html").isNotNull() & ~is_blocked(F.col("html")))
 
 
-def detail_links(elements: Column) -> Column:
+def detail_links(markup: Column) -> Column:
     """Absolute urls of all links to detail pages, in page order."""
-    hrefs = F.transform(_all(elements, LINK, 1), unquote)
+    hrefs = F.transform(_all(markup, LINK, 1), unquote)
     details = F.filter(hrefs, lambda h: h.contains(LINK_PART))
     return F.transform(F.transform(details, strip), lambda h: absolute_url(h))
 
 
 def with_title(pages: DataFrame) -> DataFrame:
     """Add ``title``: text of the first ``h1``, else of the first ``title``."""
-    elements, heading = F.col("_elements"), F.col("_heading")
+    markup, heading = F.col("_elements"), F.col("_heading")
     return (
-        pages.withColumn("_h1", _found(elements, FIRST_H1))
+        pages.withColumn("_h1", _found(markup, FIRST_H1))
         .withColumn(
-            "_heading", F.when(F.col("_h1") != "", F.col("_h1")).otherwise(_found(elements, FIRST_TITLE))
+            "_heading", F.when(F.col("_h1") != "", F.col("_h1")).otherwise(_found(markup, FIRST_TITLE))
         )
         .withColumn("title", F.when(heading != "", text_of(heading)))
     )
 
 
-def _address_from_spans(elements: Column) -> Column:
+def _address_from_spans(markup: Column) -> Column:
     def names_place(text: Column) -> Column:
         found = F.lit(False)
         for place in PLACE_NAMES:
@@ -135,7 +134,7 @@ def _address_from_spans(elements: Column) -> Column:
             text = F.regexp_replace(text, "(?Ud)" + noise, "")
         return strip(text)
 
-    texts = F.transform(_all(elements, ANY_SPAN), text_of)
+    texts = F.transform(elements(markup, "span", ANY_SPAN), text_of)
     cleaned = F.transform(F.filter(texts, names_place), without_noise)
     return F.get(F.filter(cleaned, lambda t: F.length(t) > ADDRESS_MIN_LENGTH), F.lit(0))
 
@@ -143,9 +142,10 @@ def _address_from_spans(elements: Column) -> Column:
 def with_address(pages: DataFrame) -> DataFrame:
     """Add ``address``: first three comma parts of the description, else a span that names a known place."""
     described = F.col("_description")
+    described_spans = elements(F.col("_elements"), "span", DESCRIPTION_SPAN)
     parts = F.slice(F.split(described, ","), 1, ADDRESS_PARTS)
     return (
-        pages.withColumn("_description", text_of(_found(F.col("_elements"), DESCRIPTION_SPAN)))
+        pages.withColumn("_description", F.coalesce(text_of(F.get(described_spans, F.lit(0))), F.when(F.col("html").isNotNull(), "")))
         .withColumn("_span", F.when(described == "", _address_from_spans(F.col("_elements"))))
         .withColumn(
             "address",
@@ -174,11 +174,11 @@ def with_price(pages: DataFrame) -> DataFrame:
 
 def with_area(pages: DataFrame) -> DataFrame:
     """Add ``area``: value of the labelled item, else the area near the label, else the first on the page."""
-    html, elements = F.col("html"), F.col("_elements")
+    html, markup = F.col("html"), F.col("_elements")
     pattern = "(?iU)" + AREA_PATTERN
-    items = F.filter(_all(elements, AREA_ITEM), lambda i: raw_text_of(i).contains(AREA_LABEL))
-    values = F.filter(F.transform(items, lambda i: _found(i, AREA_VALUE_SPAN)), lambda v: v != "")
-    labelled = strip(F.regexp_extract(raw_text_of(_found(elements, LABELLED_TEXT)), pattern, 1))
+    items = F.filter(elements(markup, "div", AREA_ITEM), lambda i: raw_text_of(i).contains(AREA_LABEL))
+    values = F.filter(F.transform(items, lambda i: F.get(elements(i, "span", AREA_VALUE_SPAN), F.lit(0))), lambda v: v.isNotNull())
+    labelled = F.coalesce(strip(F.regexp_extract(around(markup, AREA_LABEL), pattern, 1)), F.lit(""))
     return (
         pages.withColumn("_item", F.coalesce(text_of(F.get(values, F.lit(0))), F.lit("")))
         .withColumn("_labelled", F.when(F.col("_item") == "", labelled))

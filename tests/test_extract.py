@@ -40,10 +40,13 @@ def test_address(spark):
         "<span>Đà Nẵng giá 3 tỷ 500</span>",
         "<span>3 tầng Hà Nội</span><span>Hà Nội</span>",
         "<span>nowhere</span>",
+        description.format("<span>Ward</span>, <b>District</b>, City, text"),
+        "<span><span>x</span> Hà Nội <span>y</span></span><span>Hà Nội 2</span>",
+        description.format("Open <span>never closed"),
     ]
     assert field(spark, extract.with_address, "address", pages) == [
         "Ward, District , City", "Ward only", "Quận 1, TP.HCM", "Thanh Xuân, Hà Nội", "Cần Thơ",
-        "Đà Nẵng giá", "Hà Nội", None,
+        "Đà Nẵng giá", "Hà Nội", None, "Ward,District, City", "xHà Nộiy", "Open" + "never closed",
     ]
 
 
@@ -72,9 +75,12 @@ def test_area(spark):
         "<p>Diện tích lớn</p><p>45mét</p>",
         "<p>30 vuông</p>",
         "<p>12 ha</p>",
+        '<p>70 m2</p><div class="re__pr-short-info-item"><div class="icon"></div>' + item[item.index("<span>"):].format("Diện tích", "80 m²"),
+        "<p>Giá 70 m2</p><p><b>x</b> Diện tích<br> 50 m²</p><p>60 m2</p>",
+        "<p>70 m2</p><div><p>80 m2</p>Diện tích</div>",
     ]
     assert field(spark, extract.with_area, "area", pages) == [
-        "80 m²", "62.5 m²", "55\xa0M2", "45mét", "30 vuông", None,
+        "80 m²", "62.5 m²", "55\xa0M2", "45mét", "30 vuông", None, "80 m²", "50 m²", "80 m2",
     ]
 
 
