@@ -14,11 +14,15 @@ expressions use, but a repeated expression inside a condition again and again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthlake.functions.text import absolute_url, around, elements, normalize_url, raw_text_of, strip, text_of, unquote
 from hearthlake.operators.columns import LISTING_SCHEMA, conform
+from hearthlake.operators.dedup import dedup_keep_last
 
 # Texts and patterns that decide what is found.
 BLOCKED_TEXTS = ["Cloudflare", "Checking your browser"]
@@ -221,8 +225,8 @@ def links_per_page(pages: DataFrame, limit: int = DEFAULT_LINKS_PER_PAGE) -> Dat
     )
 
 
-def extract_details(pages: DataFrame, collected_on: Column | str) -> DataFrame:
-    """One listing row per fetched detail page, in the fixed listing columns."""
+def extract_details(pages: DataFrame, collected_on: Column | str, keep: Sequence[str] = ()) -> DataFrame:
+    """One listing row per fetched detail page: the fixed listing columns and those to ``keep`` of the page."""
     day = F.lit(collected_on) if isinstance(collected_on, str) else collected_on
     extracted = with_elements(pages.filter(F.col("html").isNotNull()))
     for step in (with_title, with_address, with_price, with_area):
@@ -238,7 +242,9 @@ def extract_details(pages: DataFrame, collected_on: Column | str) -> DataFrame:
             F.col("title").alias("Tiêu đề"),
             "_at.latitude",
             "_at.longitude",
-        )
+            *keep,
+        ),
+        T.StructType([*LISTING_SCHEMA.fields, *[pages.schema[c] for c in keep]]),
     )
 
 
@@ -247,16 +253,21 @@ def extract_listings(
     detail_pages: DataFrame,
     collected_on: str,
     limit: int = DEFAULT_LINKS_PER_PAGE,
+    fetched: Sequence[str] = (),
 ) -> DataFrame:
     """Listings behind the first ``limit`` links of each result page, one row per link.
 
-    ``detail_pages`` holds one stored page per url. Fields are extracted once per
+    ``detail_pages`` holds one stored page per url, or several fetches of a url of which
+    the last in the order of the columns ``fetched`` counts. Fields are extracted once per
     detail page and before the join, which then moves short listing rows only. When
     one listing is linked from very many pages the links are the skewed side and
     adaptive execution splits them.
     """
     links = links_per_page(result_pages, limit).select("page_id", "position", F.col("link").alias("url"))
-    return links.join(extract_details(detail_pages, collected_on), "url").select(
+    details = extract_details(detail_pages, collected_on, fetched)
+    if fetched:
+        details = dedup_keep_last(details, fetched, "url").drop(*fetched)
+    return links.join(details, "url").select(
         "page_id", "position", *LISTING_SCHEMA.names
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Callable
 
@@ -22,7 +23,7 @@ from hearthlake.operators import (
     profile,
     upsert,
 )
-from hearthlake.plans import inputs, refresh
+from hearthlake.plans import inputs, refresh, reports
 from hearthlake.session import shared_folder
 from hearthlake.sources import files, serving, snapshots
 
@@ -131,6 +132,17 @@ def json_gzip_roundtrip(spark, sf_dir):
     return files.read_json_folder(spark, folder, written.schema)
 
 
+@query
+def read_json_documents(spark, sf_dir):
+    """Files of one JSON list each, of a thousand records at most."""
+    folder = shared_folder(spark)
+    record = property_records(spark, sf_dir).withColumn("part", F.floor(F.col("id").cast("long") / 1000))
+    lists = record.groupBy("part").agg(F.to_json(F.collect_list(F.struct("id", "listing"))).alias("value"))
+    lists.write.partitionBy("part").text(folder, compression="gzip")
+    read = files.read_json_documents(spark, folder, "id string, listing struct<prices: struct<buy: struct<price: bigint>>>")
+    return read.select("id", F.col("listing.prices.buy.price").alias("price"))
+
+
 @query
 def read_parquet_union(spark, sf_dir):
     folder = shared_folder(spark)
@@ -153,7 +165,11 @@ def snapshot_history(spark, sf_dir):
     folder = shared_folder(spark)
     snapshots.write_snapshot(first_crawl(spark, sf_dir), folder, "CREATE")
     snapshots.write_snapshot(second_crawl(spark, sf_dir), folder, "OVERWRITE")
-    return snapshots.history(spark, folder).select("version", "operation")
+    versions = [
+        snapshots.read_version(spark, folder, v).agg(F.lit(v).alias("version"), F.count("*").alias("stored_rows")) for v in (0, 1)
+    ]
+    counts = versions[0].unionByName(versions[1])
+    return snapshots.history(spark, folder).join(counts, "version").select("version", "operation", "stored_rows")
 
 
 @query
@@ -193,6 +209,39 @@ def merge_keeps_columns(spark, sf_dir):
     return published.select(keys.MERGE_KEY.lower(), "seq", F.col("propertydetails_images").alias("images"))
 
 
+@query
+def refresh_listings(spark, sf_dir):
+    """The whole job: result pages that many criteria share, pages of no criterion, several fetches of a detail page."""
+    folder = shared_folder(spark)
+    searches = inputs.searches(spark, sf_dir)
+    link = lambda n: F.concat(F.lit('<a href="/tin-pid'), n.cast("string"), F.lit('">x</a>'))
+    results = criteria.with_search_url(searches).select(
+        F.col("search_id").alias("page_id"),
+        F.col("search_url").alias("url"),
+        F.concat(link(F.col("search_id")), link(2 * F.col("search_id"))).alias("html"),
+    )
+    pages = inputs.detail_pages(spark, sf_dir)
+    again = pages.filter("page_id % 3 = 0").withColumn("html", F.concat(F.lit("<h1>Fetch 2</h1>"), "html"))
+    fetches = pages.withColumn("fetch", F.lit(1)).unionByName(again.withColumn("fetch", F.lit(2)))
+    published = refresh.refresh(
+        searches, results.unionByName(pages), fetches, f"{folder}/bronze", f"{folder}/serving", COLLECTED_ON, LINKS, fetched=["fetch"]
+    )
+    lineage = ["search_city", "search_property_type", "search_rent_or_buy", "search_radius"]
+    return published.select(keys.MERGE_KEY.lower(), "url", "muc_gia", "dien_tich", "ia_chi", "tieu_e", *lineage)
+
+
+@query
+def empty_crawl(spark, sf_dir):
+    """A crawl without listings leaves the stored table and its version as they are."""
+    root = f"{shared_folder(spark)}/bronze"
+    crawl = first_crawl(spark, sf_dir)
+    refresh.merge_listings(crawl, root, ORDER)
+    refresh.merge_listings(columns.emit_if(crawl, False), root, ORDER)
+    versions = snapshots.history(spark, root).agg(F.count("*").alias("versions"))
+    stored_rows = snapshots.read_current(spark, root).agg(F.count("*").alias("stored_rows"))
+    return stored_rows.withColumn("_", F.lit(1)).join(versions.withColumn("_", F.lit(1)), "_").drop("_")
+
+
 # Nested records.
 
 
@@ -279,6 +328,19 @@ def lookup_property(spark, sf_dir):
     )
 
 
+@query
+def emit_if(spark, sf_dir):
+    rows = inputs.listings(spark, sf_dir).select("seq")
+    return columns.emit_if(rows, True).unionByName(columns.emit_if(rows, False))
+
+
+@query
+def sample_one(spark, sf_dir):
+    """The drawn value is one of the table's."""
+    urls = inputs.listings(spark, sf_dir).select("url")
+    return columns.sample_one(urls, "url", 5).join(urls.distinct(), "url").agg(F.count("*").alias("drawn"))
+
+
 # Joins.
 
 
@@ -370,6 +432,14 @@ def top_expensive_areas(spark, sf_dir):
     )
 
 
+@query
+def report_rows(spark, sf_dir):
+    """Every report over the serving table, and how many rows each has."""
+    found = reports.run_reports(inputs.listings(spark, sf_dir))
+    counts = [frame.agg(F.count("*").alias("report_rows")).select(F.lit(name).alias("report"), "report_rows") for name, frame in found.items()]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 @query
 def city_value_counts(spark, sf_dir):
     return analytics.city_value_counts(inputs.listings(spark, sf_dir))

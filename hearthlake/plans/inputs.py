@@ -48,12 +48,14 @@ SELECT o_orderkey AS page_id,
   '<html><head><title>T' || CAST(o_orderkey AS STRING) || ' &amp; co</title><script>var t = "<h1>no</h1>";</script></head><body>' ||
   CASE WHEN o_orderkey % 19 = 0 THEN 'Checking your browser' WHEN o_orderkey % 37 = 0 THEN '<p>Cloudflare</p>' ELSE '' END ||
   CASE WHEN o_orderkey % 7 = 0 THEN ''
+       WHEN o_orderkey % 7 = 2 THEN '<h1>Listing ' || CAST(o_orderkey AS STRING) || ' &apos;&#150;</h1>'
        WHEN o_orderkey % 7 = 1 THEN '<!-- <h1>old</h1> --><h1 class="t">Listing <b>' || CAST(o_orderkey AS STRING) || ' &amp; more</b> </h1>'
        ELSE '<h1>Listing ' || CAST(o_orderkey AS STRING) || '</h1>' END ||
   CASE WHEN o_orderkey % 8 = 0 THEN '<span>Ward 1</span><span>Bán nhà 3.5 tỷ, Thanh Xuân, Hà Nội 4 tầng</span>'
        WHEN o_orderkey % 8 = 1 THEN '<span class="re__pr-short-description">Ward ' || CAST(o_orderkey % 9 AS STRING) || ' </span>'
        WHEN o_orderkey % 8 = 2 THEN '<span>Đà Nẵng, Ward ' || CAST(o_orderkey % 9 AS STRING) || ' 80m2 x</span>'
        WHEN o_orderkey % 8 = 3 THEN '<span>Ward ' || CAST(o_orderkey % 9 AS STRING) || '</span>'
+       WHEN o_orderkey % 8 = 4 THEN '<span class="re__pr-short-description"><span>Ward ' || CAST(o_orderkey % 9 AS STRING) || '</span>, <b>District</b>, City, extra text</span>'
        ELSE '<span class="js re__pr-short-description">Ward ' || CAST(o_orderkey % 9 AS STRING) || ', District ' || CAST(o_orderkey % 5 AS STRING) || ', City, extra text</span>' END ||
   CASE WHEN o_orderkey % 5 = 0 THEN '<input value="' || CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) AS STRING) || ' VND" class="a js-gia-bds">'
        WHEN o_orderkey % 5 = 1 THEN '<input class="js-gia-other" value="1">'
@@ -62,6 +64,8 @@ SELECT o_orderkey AS page_id,
   CASE WHEN o_orderkey % 6 = 0 THEN '<div class="re__pr-short-info-item"><span class="title">Diện tích</span><span class="value"> ' || CAST(20 + o_orderkey % 180 AS STRING) || ' m²</span></div>'
        WHEN o_orderkey % 6 = 1 THEN '<p>Rộng ' || CAST(20 + o_orderkey % 180 AS STRING) || 'm2</p>'
        WHEN o_orderkey % 6 = 2 THEN '<p>Mặt tiền</p>'
+       WHEN o_orderkey % 6 = 3 THEN '<p>70 m2</p><div class="re__pr-short-info-item"><div class="icon"></div><span>Diện tích</span><span class="value">' || CAST(20 + o_orderkey % 180 AS STRING) || ' m²</span></div>'
+       WHEN o_orderkey % 6 = 4 THEN '<p>Giá 70 m2</p><p><b>x</b> Diện tích ' || CAST(20 + o_orderkey % 180 AS STRING) || ' m²</p>'
        ELSE '<p>Diện tích: <b>' || CAST(20 + o_orderkey % 180 AS STRING) || '.5</b> m²</p>' END ||
   CASE WHEN o_orderkey % 13 = 0 THEN '<i>@1.5,2.5</i>' ELSE '' END ||
   CASE WHEN o_orderkey % 11 = 0 THEN ''

@@ -26,16 +26,21 @@ def find_listings(
     detail_pages: DataFrame,
     collected_on: str,
     limit: int = DEFAULT_LINKS_PER_PAGE,
+    fetched: Sequence[str] = (),
 ) -> DataFrame:
     """Listings on the result pages of the criteria, each with the criterion it was found by.
 
-    Pages are extracted before criteria are joined: a page that several criteria share
-    is read once, and only ids and short rows move, never pages.
+    Result pages of no criterion are left out before their links are looked for. Pages are
+    extracted before criteria are joined: a page that several criteria share is read once,
+    and only ids and short rows move, never pages.
     """
     wanted = with_search_url(criteria)
-    pages = result_pages.select("page_id", normalize_url(F.col("url")).alias("search_url"))
-    searched = pages.join(wanted, "search_url").drop("search_url")
-    found = extract_listings(result_pages, detail_pages, collected_on, limit).join(searched, "page_id")
+    # The lookup tables bound the different search urls: cities x categories x actions.
+    urls = F.broadcast(wanted.select("search_url").distinct())
+    with_url = result_pages.withColumn("search_url", normalize_url(F.col("url")))
+    result_pages = with_url.join(urls, "search_url", "left_semi")
+    searched = with_url.select("page_id", "search_url").join(wanted, "search_url").drop("search_url")
+    found = extract_listings(result_pages, detail_pages, collected_on, limit, fetched).join(searched, "page_id")
     with_criterion = attach_lineage(
         found,
         F.coalesce("city", F.lit("")),
@@ -118,16 +123,19 @@ def refresh(
     collected_on: str,
     limit: int = DEFAULT_LINKS_PER_PAGE,
     cities: str | Sequence[str] | None = None,
+    fetched: Sequence[str] = (),
 ) -> DataFrame:
     """The whole job for one crawl; returns the serving table, cut to ``cities`` if given.
 
+    Of several fetches of a detail page the last by the columns ``fetched`` counts.
+
     Of several finds of one listing in a crawl the one furthest down counts. Of several
     criteria with one search url the last counts, so a listing isn't multiplied by them.
     """
     names = ["city", "propertyType", "rentOrBuy", "radius"]
     last = [F.coalesce(c, F.lit(0) if c == "radius" else F.lit("")) for c in names]
     criteria = dedup_keep_last(with_search_url(criteria), last, "search_url").select(*criteria.columns)
-    found = find_listings(criteria, result_pages, detail_pages, collected_on, limit)
+    found = find_listings(criteria, result_pages, detail_pages, collected_on, limit, fetched)
     lineage = [c for c in found.columns if c.startswith("search_")]
     merge_listings(found, root, ["page_id", "position", *lineage], ["page_id", "position"])
     return publish(criteria.sparkSession, root, serving_root, cities)
