@@ -223,8 +223,12 @@ def refresh_listings(spark, sf_dir):
     pages = inputs.detail_pages(spark, sf_dir)
     again = pages.filter("page_id % 3 = 0").withColumn("html", F.concat(F.lit("<h1>Fetch 2</h1>"), "html"))
     fetches = pages.withColumn("fetch", F.lit(1)).unionByName(again.withColumn("fetch", F.lit(2)))
+    # Written first, as a crawler leaves them.
+    for name, frame in {"results": results.unionByName(pages), "fetches": fetches}.items():
+        frame.write.parquet(f"{folder}/{name}")
+    stored_results, stored_fetches = (spark.read.parquet(f"{folder}/{name}") for name in ("results", "fetches"))
     published = refresh.refresh(
-        searches, results.unionByName(pages), fetches, f"{folder}/bronze", f"{folder}/serving", COLLECTED_ON, LINKS, fetched=["fetch"]
+        searches, stored_results, stored_fetches, f"{folder}/bronze", f"{folder}/serving", COLLECTED_ON, LINKS, fetched=["fetch"]
     )
     lineage = ["search_city", "search_property_type", "search_rent_or_buy", "search_radius"]
     return published.select(keys.MERGE_KEY.lower(), "url", "muc_gia", "dien_tich", "ia_chi", "tieu_e", *lineage)
@@ -237,9 +241,9 @@ def empty_crawl(spark, sf_dir):
     crawl = first_crawl(spark, sf_dir)
     refresh.merge_listings(crawl, root, ORDER)
     refresh.merge_listings(columns.emit_if(crawl, False), root, ORDER)
-    versions = snapshots.history(spark, root).agg(F.count("*").alias("versions"))
-    stored_rows = snapshots.read_current(spark, root).agg(F.count("*").alias("stored_rows"))
-    return stored_rows.withColumn("_", F.lit(1)).join(versions.withColumn("_", F.lit(1)), "_").drop("_")
+    rows = snapshots.read_current(spark, root).select(F.lit(1).alias("r"), F.lit(0).alias("v"))
+    tagged = rows.unionAll(snapshots.history(spark, root).select(F.lit(0), F.lit(1)))
+    return tagged.agg(F.sum("r").alias("stored_rows"), F.sum("v").alias("versions"))
 
 
 # Nested records.
