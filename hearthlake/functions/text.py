@@ -89,8 +89,7 @@ def unescape(text: Column) -> Column:
     """Decode character references that end in a semicolon."""
 
     def decode(piece: Column, position: Column) -> Column:
-        name = F.regexp_extract(piece, ENTITY, 1)
-        found = F.concat(_referenced(name), F.substr(piece, F.length(name) + 2))
+        found = let(F.regexp_extract(piece, ENTITY, 1), lambda name: F.concat(_referenced(name), F.substr(piece, F.length(name) + 2)))
         return F.when(position == 0, piece).otherwise(F.coalesce(found, F.concat(F.lit("&"), piece)))
 
     return F.array_join(F.transform(F.split(text, "&"), decode), "")
@@ -136,9 +135,8 @@ def elements(markup: Column, tag: str, opening: str) -> Column:
 
             rest = F.slice(signs, i + 1, F.size(signs))
             none = F.struct(*[F.lit(0).alias(n) for n in ("open", "places", "end")])
-            end = F.aggregate(rest, none, balanced)["end"]
-            first = F.array_position(rest, F.lit(-1)).cast("int")
-            return let(F.when(end > 0, end).otherwise(first), cut)
+            end = let(F.aggregate(rest, none, balanced)["end"], lambda e: F.when(e > 0, e))
+            return let(F.coalesce(end, F.array_position(rest, F.lit(-1)).cast("int")), cut)
 
         starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: F.get(pieces, i).rlike("^" + opening))
         return let(signs, lambda s: F.filter(F.transform(starts, lambda i: at(s, i)), lambda e: e.isNotNull()))
@@ -174,10 +172,11 @@ def around(markup: Column, label: str) -> Column:
 
         def of_place(place: Column) -> Column:
             def of_signs(signs: Column) -> Column:
-                before = F.aggregate(F.reverse(F.slice(signs, 1, place)), start, steps(1))["places"]
-                after = F.aggregate(F.slice(signs, place + 1, F.size(signs)), start, steps(-1))
-                kept = before + after["places"] - F.when(after["done"], 1).otherwise(0)
-                return raw_text_of(F.array_join(F.slice(pieces, place - before + 1, kept), ""))
+                before = F.aggregate(F.reverse(F.slice(signs, 1, place)), start, steps(1), lambda acc: acc["places"])
+                after = F.aggregate(
+                    F.slice(signs, place + 1, F.size(signs)), start, steps(-1), lambda acc: acc["places"] - acc["done"].cast("int")
+                )
+                return let(before, lambda n: raw_text_of(F.array_join(F.slice(pieces, place - n + 1, n + after), "")))
 
             return F.when(place > 0, let(signs, of_signs))
 
