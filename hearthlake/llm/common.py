@@ -52,10 +52,10 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def stored(frame: DataFrame) -> DataFrame:
+def stored(frame: DataFrame, codec: str = "snappy") -> DataFrame:
     """The frame written to the shared folder as Parquet, for what is wide or read by columns."""
     folder = shared_folder(frame.sparkSession)
-    frame.write.parquet(folder)
+    frame.write.parquet(folder, compression=codec)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 

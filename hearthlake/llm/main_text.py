@@ -10,23 +10,28 @@ in the suffix array and removed, and the unique runs stay.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm.common import given
+from hearthlake.llm.byte_bpe import chunks
+from hearthlake.llm.common import given, let, stored
+from hearthlake.llm.passages import rolled, word_hashes
 from hearthlake.llm.url_filter import host_of
 
 #: A run of so many tokens, a power of two, that so many distinct pages have is boilerplate.
 RUN_TOKENS, RUN_PAGES = 8, 3
-#: Pages of one host that are compared with each other; a larger host is cut into such parts.
-HOST_PAGES, HOST_BYTES = 256, 16_000_000
+#: Tokens of a run's anchor. Shorter anchors are fewer but repeat more often by chance.
+ANCHOR_TOKENS = 4
+#: Rows that a task hands on at a time.
+BATCH_ROWS = 200_000
+#: Keys (8 bytes each) and places (4 bytes) are broadcast up to so many, digests up to a quarter, and joined by a shuffle beyond.
+BROADCAST_ROWS = 4_000_000
 
 #: Fixed values of HTML: elements without content, elements that start a new block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -137,93 +142,162 @@ def blocks_of(html: str | None) -> list[tuple[str, bool]]:
     return parser.blocks
 
 
-def repeated_tokens(streams: list[np.ndarray], run: int = RUN_TOKENS, pages: int = RUN_PAGES) -> list[np.ndarray]:
-    """For each page's tokens whether they lie in a run that ``pages`` distinct pages have.
+def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each run of RUN_TOKENS tokens the hash and the place of its anchor: of its runs of ANCHOR_TOKENS tokens the one with the smallest hash.
 
-    The streams are concatenated, each ended by a token of its own. Suffixes are ranked
-    by their first 1, 2, 4, ... tokens, each rank made of two shorter ones, until they
-    are sorted by ``run`` tokens; suffixes of one rank share that run. Pages with the
-    same stream count as one, so copies of a page aren't each other's boilerplate.
+    The anchor depends on the run's tokens only, so runs that are equal have equal anchors.
     """
-    lengths = np.array([len(s) for s in streams])
-    if not lengths.sum():
-        return [np.zeros(0, dtype=bool) for _ in streams]
-    first: dict[bytes, int] = {}
-    page = np.array([first.setdefault(s.tobytes(), i) for i, s in enumerate(streams)])
-    parts = []
-    for i, stream in enumerate(streams):
-        parts += [stream, np.array([-1 - i], dtype=np.int64)]
-    whole = np.concatenate(parts)
-    owner = np.repeat(page, lengths + 1)
-    rank = np.unique(whole, return_inverse=True)[1].astype(np.int64)
-    size = 1
-    while size < run:
-        after = np.concatenate([rank[size:], np.full(size, -1)]) + 1
-        rank = np.unique(rank * (len(whole) + 2) + after, return_inverse=True)[1].astype(np.int64)
-        size *= 2
-    # Pages of each rank: its distinct (rank, page) pairs.
-    pairs = np.unique(rank * len(streams) + owner)
-    holders = np.bincount(pairs // len(streams), minlength=rank.max() + 1)
-    starts = np.flatnonzero(holders[rank] >= pages)
-    # A run that reaches a page's end holds that page's own last token and so repeats nowhere.
-    change = np.zeros(len(whole) + run + 1, dtype=np.int32)
-    np.add.at(change, starts, 1)
-    np.add.at(change, starts + run, -1)
-    covered = np.cumsum(change)[: len(whole)] > 0
-    ends = np.cumsum(lengths + 1)
-    return [covered[end - length - 1 : end - 1] for end, length in zip(ends, lengths)]
-
-
-@dataclass
-class _Page:
-    row: tuple
-    blocks: list[tuple[str, bool]]
-    tokens: list[list[str]] = field(default_factory=list)
-
-
-def main_texts(pages: list[_Page]) -> list[tuple[str, int]]:
-    """The main text of each of some pages of one host, and how many of its tokens repeat on the host."""
-    for page in pages:
-        page.tokens = [text.split(" ") for text, _ in page.blocks]
-    streams = [np.array([zlib.crc32(t.encode("utf-8", "replace")) for block in p.tokens for t in block], dtype=np.int64) for p in pages]
-    found = []
-    for page, covered in zip(pages, repeated_tokens(streams)):
-        if any(inside for _, inside in page.blocks):
-            kept = [text for text, inside in page.blocks if inside]
-        else:
-            kept, at = [], 0
-            for tokens in page.tokens:
-                unique = [t for t, c in zip(tokens, covered[at : at + len(tokens)]) if not c]
-                at += len(tokens)
-                if unique:
-                    kept.append(" ".join(unique))
-        found.append(("\n\n".join(kept), int(covered.sum())))
-    return found
+    short = rolled(hashes, ANCHOR_TOKENS)
+    width = RUN_TOKENS - ANCHOR_TOKENS + 1
+    if len(short) < width:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    place = np.lib.stride_tricks.sliding_window_view(short, width).argmin(axis=1)
+    place = place + np.arange(len(place))
+    return short[place], place
+
+
+def _host_keys(hashes: np.ndarray, host: str) -> np.ndarray:
+    return (hashes ^ np.uint64(xxhash.xxh64_intdigest(host))).view(np.int64)
+
+
+def anchor_pages(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page's different anchors: the key of host and anchor, and 32 bits of the page's digest."""
+    keys, pages, size = [], [], 0
+
+    def batch_of() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(pages))], names=["key", "page"])
+
+    for batch in found:
+        for page, host, tokens in zip(*[c.to_pylist() for c in batch.columns]):
+            own = _host_keys(np.unique(anchors(word_hashes(tokens.split(" ")))[0]), host)
+            keys.append(own)
+            pages.append(np.full(len(own), int.from_bytes(page[:4], "little", signed=True), dtype=np.int32))
+            size += len(own)
+            if size > BATCH_ROWS:
+                yield batch_of()
+                keys, pages, size = [], [], 0
+    if size:
+        yield batch_of()
+
+
+def anchor_spans(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page with runs: page, host, and of each stretch of neighbouring runs with one anchor the key, the first run's place and the tokens."""
+    pages, hosts, ends, keys, places, texts = [], [], [0], [], [], []
+
+    def batch_of() -> pa.RecordBatch:
+        spans = [pa.array(np.concatenate(keys)), pa.array(np.concatenate(places).astype(np.int32)), pa.array(texts, pa.string())]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(spans, names=["key", "start", "tokens"]))
+        return pa.RecordBatch.from_arrays([pa.array(pages, pa.binary()), pa.array(hosts, pa.string()), lists], names=["page", "host", "spans"])
+
+    for batch in found:
+        for page, host, text in zip(*[c.to_pylist() for c in batch.columns]):
+            tokens = text.split(" ")
+            hashes, place = anchors(word_hashes(tokens))
+            if not len(place):
+                continue
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
+            keys.append(_host_keys(hashes[starts], host))
+            places.append(starts)
+            texts += [" ".join(tokens[x : y + RUN_TOKENS - 1]) for x, y in zip(starts.tolist(), [*starts[1:].tolist(), len(place)])]
+            pages.append(page)
+            hosts.append(host)
+            ends.append(len(texts))
+            if len(texts) > BATCH_ROWS:
+                yield batch_of()
+                pages, hosts, ends, keys, places, texts = [], [], [0], [], [], []
+    if pages:
+        yield batch_of()
+
+
+def _small(frame: DataFrame, rows: int) -> DataFrame:
+    """The frame broadcast where it counts up to BROADCAST_ROWS, and joined by a shuffle beyond."""
+    return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
+
+
+def repeated_places(rows: DataFrame) -> DataFrame:
+    """_page and _places, where a run of the page's tokens starts that RUN_PAGES distinct pages of its host have.
+
+    ``rows`` has _page, _host and _tokens. Suffixes of all streams of a host that agree in
+    their first RUN_TOKENS tokens are one rank, and a rank's distinct pages are counted
+    over the whole host. So that not every suffix is shuffled, anchors are counted first:
+    of a run on RUN_PAGES pages, the anchor is on as many, so no run is lost, and keys
+    that copies of one page hold alone go. Then the runs of the anchors that are left are
+    counted, known by a 128-bit digest of host and tokens. Distinct pages come before the
+    count, so a run on all pages is one row for each task.
+    """
+    streams = rows.select("_page", "_host", "_tokens")
+    counted = streams.mapInArrow(anchor_pages, "key long, page int").groupBy("key")
+    counted = counted.agg(F.count(F.lit(1)).alias("n"), F.min("page").alias("least"), F.max("page").alias("most"))
+    shared = stored(counted.where((F.col("n") >= RUN_PAGES) & (F.col("least") < F.col("most"))).select("key"))
+    spans = streams.mapInArrow(anchor_spans, "page binary, host string, spans array<struct<key: long, start: int, tokens: string>>")
+    spans = stored(spans.select("page", "host", F.inline("spans")).join(_small(shared, shared.count()), "key").drop("key"))
+    each = let(F.split("tokens", " "), lambda t: F.transform(F.sequence(F.lit(1), F.size(t) - RUN_TOKENS + 1), lambda i: F.array_join(F.slice(t, i, RUN_TOKENS), " ")))
+    runs = spans.select("page", "host", "start", F.posexplode(each).alias("_at", "_run"))
+    runs = runs.withColumn("run", F.unhex(F.md5(F.concat("host", F.lit("/"), "_run")))).drop("host", "_run")
+    repeated = runs.select("run", "page").distinct().groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    # Stored, so that the join deals both sides anew and a hot run may be split.
+    repeated = stored(repeated.where(F.col("n") >= RUN_PAGES).select("run"))
+    places = runs.join(_small(repeated, 4 * repeated.count()), "run").select(F.col("page").alias("_page"), (F.col("start") + F.col("_at")).alias("_place"))
+    found = stored(places.groupBy("_page").agg(F.collect_set("_place").alias("_places")))
+    return _small(found, found.agg(F.coalesce(F.sum(F.size("_places")), F.lit(0))).first()[0])
+
+
+def main_text(texts: list[str], inside: list[bool], places: list[int]) -> tuple[str, int]:
+    """The main text of a page's blocks, and how many of its tokens lie in runs that start at ``places``."""
+    covered = np.zeros(sum(text.count(" ") + 1 for text in texts), dtype=bool)
+    for place in places:
+        covered[place : place + RUN_TOKENS] = True
+    if any(inside):
+        kept = [text for text, own in zip(texts, inside) if own]
+    else:
+        kept, at = [], 0
+        for text in texts:
+            tokens = text.split(" ")
+            unique = [t for t, c in zip(tokens, covered[at : at + len(tokens)]) if not c]
+            at += len(tokens)
+            if unique:
+                kept.append(" ".join(unique))
+    return "\n\n".join(kept), int(covered.sum())
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """page_id, url, _host, and the blocks as _texts and _inside, one row for each row of ``pages`` (page_id, url, html)."""
+    rows = pages.select("page_id", "url", host_of(F.col("url")).alias("_host"), "html")
+    kind = rows.schema["page_id"].dataType.simpleString()
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for part in chunks(batch, 3):
+                blocks = [blocks_of(html) for html in part.column(3).to_pylist()]
+                texts = pa.array([[t for t, _ in own] for own in blocks], pa.list_(pa.string()))
+                inside = pa.array([[i for _, i in own] for own in blocks], pa.list_(pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], texts, inside], names=["page_id", "url", "_host", "_texts", "_inside"])
+
+    return rows.mapInArrow(batches, f"page_id {kind}, url string, _host string, _texts array<string>, _inside array<boolean>")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and repeated_tokens, one row for each row of ``pages`` (page_id, url, html).
 
-    NULL html counts as empty; a page without main text has an empty text. Pages are
-    range-partitioned by host and a hash of the page, so a large host's pages lie in
-    several tasks, and within a task a host is worked on in parts of HOST_PAGES pages:
-    boilerplate is on most pages of its host and shows in every part. Only pages that
-    mark no article depend on it. A NULL url has the empty host. Rows that repeat are
-    one page to the suffix array. An empty table gives an empty result.
+    NULL html counts as empty; a page without main text has an empty text. Token runs are
+    counted over all pages of a host, however many, so the result doesn't depend on
+    partitions or other hosts. Only the texts of pages that mark no article depend on
+    them. A NULL url has the empty host. Pages of one host with the same tokens are one
+    page to the counts, known by a digest of both, so copies of a page aren't each other's
+    boilerplate. An empty table gives an empty result. Pages are parsed once and their
+    blocks stored in the shared folder.
     """
-    rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("_host"), F.xxhash64("page_id", "url").alias("_order"))
-    rows = rows.repartitionByRange("_host", "_order").sortWithinPartitions("_host", "_order").drop("_order")
+    tokens = F.array_join("_texts", " ")
+    rows = stored(parsed(pages), "zstd").withColumn("_page", F.unhex(F.md5(F.concat("_host", F.lit("/"), tokens))))  # a host has no slash
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, held, size, type_ = None, [], 0, pa.int64()
-
-        def flush() -> pa.RecordBatch:
-            texts = main_texts(held)
-            return pa.RecordBatch.from_arrays(
+        for batch in found:
+            texts = [main_text(t, i, p or []) for t, i, p in zip(*[c.to_pylist() for c in batch.columns[2:]])]
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([p.row[0] for p in held], type_),
-                    pa.array([p.row[1] for p in held], pa.string()),
+                    batch.column(0),
+                    batch.column(1),
                     pa.array([t for t, _ in texts], pa.string()),
                     pa.array([len(t) for t, _ in texts], pa.int64()),
                     pa.array([n for _, n in texts], pa.int64()),
@@ -231,20 +305,9 @@ def extracted(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars", "repeated_tokens"],
             )
 
-        for batch in found:
-            type_ = batch.schema.field(0).type
-            for row in range(batch.num_rows):
-                page, url, html, own = (column[row].as_py() for column in batch.columns)
-                if held and (own != host or len(held) >= HOST_PAGES or size > HOST_BYTES):
-                    yield flush()
-                    held, size = [], 0
-                host = own
-                held.append(_Page((page, url), blocks_of(html)))
-                size += len(html or "")
-        if held:
-            yield flush()
-
-    return rows.mapInArrow(batches, f"page_id {kind}, url string, text string, n_chars long, repeated_tokens long")
+    places = repeated_places(rows.select("_page", "_host", tokens.alias("_tokens")))
+    found = rows.join(places, "_page", "left").select("page_id", "url", "_texts", "_inside", "_places")
+    return found.mapInArrow(batches, f"page_id {kind}, url string, text string, n_chars long, repeated_tokens long")
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

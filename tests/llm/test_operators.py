@@ -245,6 +245,36 @@ def test_main_text(spark):
     assert found[12].text == "number2 here2"
 
 
+@pytest.mark.parametrize("partitions, broadcast", [(1, 4_000_000), (7, 0)])
+def test_main_text_counts_whole_hosts(spark, monkeypatch, partitions, broadcast):
+    """A large host, a notice on 1 % of it, hosts of a few pages, copies and repeated rows, against all runs of all pages."""
+    monkeypatch.setattr(main_text, "BROADCAST_ROWS", broadcast, raising=False)
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    everywhere, rare, copy = line(12), line(9), line(30)
+    rows = []
+    for i in range(700):
+        rows.append((i, f"http://hot.net/{i}", f"<p>{line(20)}</p><p>{everywhere}</p>" + f"<div>{rare}</div>" * (i % 100 == 3)))
+    for host in range(30):
+        rows += [(1000 + 10 * host + i, f"http://h{host}.org/{i}", f"<p>{line(12)}</p><div>{everywhere}</div>") for i in range(2 + host % 3)]
+    rows += [(2000 + i, f"http://copy.net/{i}", f"<p>{copy}</p>") for i in range(5)] + [(None, None, None), (7, "x", "<p>a b"), rows[0], rows[0]]
+    runs = defaultdict(set)
+    texts = [" ".join(re.sub("<[^>]*>", " ", h or "").split()) for _, _, h in rows]
+    hosts = [(u or "x").split("/")[2:3] and u.split("/")[2] if u and "//" in u else "" for _, u, _ in rows]
+    for host, text in zip(hosts, texts):
+        words = text.split()
+        for i in range(len(words) - 7):
+            runs[host, *words[i : i + 8]].add(text)
+    wanted = Counter()
+    for (page, url, _), host, text in zip(rows, hosts, texts):
+        words = text.split()
+        covered = {i + k for i in range(len(words) - 7) if len(runs[host, *words[i : i + 8]]) >= 3 for k in range(8)}
+        wanted[page, url, " ".join(w for i, w in enumerate(words) if i not in covered), len(covered)] += 1
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(partitions)
+    found = Counter((r.page_id, r.url, r.text.replace("\n\n", " "), r.repeated_tokens) for r in main_text.extracted(table).collect())
+    assert found == wanted
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.net/en/1?x", "https://x.net/p", "http://x.net", "ftp://m.example.com/de/#t", "http://example.com/fr/", "b.org/fr/", None, "http://q.org/fr/z", "://bad.shop/", "http://notexample.com/de/"]
     rows = [(i, u) for i, u in enumerate(urls)] + [(100 + i, f"http://bad.shop/{i}") for i in range(40)] + [(200 + i, f"http://good.shop/{i}") for i in range(40)]
