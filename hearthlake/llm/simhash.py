@@ -12,8 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm.common import checkpointed, given
+from hearthlake.llm.common import checkpointed, given, whole_text
 from hearthlake.llm.components import components
+from hearthlake.llm.exact_dedup import sha256_digest
 
 SHINGLE = 3
 MOST_BITS = 3
@@ -45,16 +46,17 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a long), one row for each row of ``docs`` (doc_id, text)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, digest: bool = False) -> DataFrame:
+    """doc_id and fp (the fingerprint's 64 bits as a long), one row for each row of ``docs`` (doc_id, text); with ``digest`` also _sha of the text."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             fps = np.fromiter((simhash(t.as_py(), shingle) for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            names = ["doc_id", "fp", *batch.schema.names[2:]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names=names)
 
-    rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    rows = docs.select("doc_id", "text", *[sha256_digest(whole_text()).alias("_sha")] * digest)
+    return rows.mapInArrow(batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long" + ", _sha string" * digest)
 
 
 def _signed(mask: int) -> int:
@@ -113,6 +115,13 @@ def close_pairs(fps: DataFrame, most_bits: int = MOST_BITS, pieces: int = PIECES
     return pairs.unionByName(through).distinct()
 
 
+def with_roots(fps: DataFrame, most_bits: int = MOST_BITS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+    """Different fingerprints ``fp`` with the smallest of their component, ``root``."""
+    linked = components(close_pairs(fps.select("fp"), most_bits, PIECES, block_pairs))
+    # Only linked fingerprints have a root; all others are their own component.
+    return fps.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MOST_BITS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, one row for each row of ``docs`` (doc_id, text).
 
@@ -124,21 +133,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = MO
     before anything is paired.
     """
     rows = checkpointed(fingerprints(docs, shingle))
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("_first"))
-    linked = components(close_pairs(fps.select("fp"), most_bits, PIECES, block_pairs))
-    # Only linked fingerprints have a root; all others are their own component.
-    rooted = fps.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = with_roots(rows.groupBy("fp").agg(F.min("doc_id").alias("_first")), most_bits, block_pairs)
     least = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
     ids = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return rows.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest, all columns; of rows that repeat it, one."""
-    first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
-    rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = rows.where("_rows = 1").select(*docs.columns)
-    return once.unionByName(rows.where("_rows > 1").dropDuplicates(["_id"]).select(*docs.columns))
+    """One row of ``docs`` for each component, all columns: that with the smallest doc_id, NULL last, and of these the smallest digest of the text.
+
+    Rows that share a doc_id, or have none, are different documents where their texts differ.
+    """
+    rows = checkpointed(fingerprints(docs, digest=True))
+    each = rows.groupBy("fp", "doc_id", "_sha").agg(F.count(F.lit(1)).alias("_rows"))
+    rooted = with_roots(rows.select("fp").distinct()).select("fp", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_null"), F.col("doc_id").alias("_id"), "_sha", "_rows"))
+    chosen = each.join(rooted, "fp").groupBy("root").agg(first.alias("_first")).select("_first._id", "_first._sha", "_first._rows")
+    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (sha256_digest(whole_text()) == F.col("_sha"))
+    found = docs.join(chosen, match)
+    once = found.where("_rows = 1").select(*docs.columns)
+    return once.unionByName(found.where("_rows > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,6 +190,21 @@ def test_simhash(spark, block_pairs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(roots.values()))
 
 
+def test_without_near_copies_of_shared_ids(spark):
+    """Documents without doc_id, or with one that others have, and near copies among them."""
+    rng = random.Random(6)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))
+    own = [text() for _ in range(8)]
+    rows = [(None, own[0]), (None, own[1]), (None, own[2] + " end"), (7, own[3]), (7, own[4]), (7, own[3]), (None, own[3]), (9, own[5]), (7, own[5]), (None, own[6]), (None, own[6]), (8, own[2]), (3, own[7])]
+    prints = [brute_simhash(t) for _, t in rows]
+    roots = brute_components(range(len(rows)), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    groups = defaultdict(list)
+    for i, (doc, own_text) in enumerate(rows):
+        groups[roots[i]].append((doc is None, doc or 0, hashlib.sha256(own_text.encode()).hexdigest(), doc, own_text))
+    kept = simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter(map(tuple, kept.collect())) == Counter(min(g)[3:] for g in groups.values())
+
+
 def test_components(spark):
     links = [(1, 2), (3, 2), (5, 4), (9, 5), (5, 5), (2, 1), *[(100 + i, 101 + i) for i in range(50)], *[(200, i) for i in range(201, 260)]]
     neighbours = {x for link in links for x in link if link[0] != link[1]}
