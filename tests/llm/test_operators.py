@@ -120,6 +120,24 @@ def test_mixed(table):
     assert copies == Counter({r.doc_id: n for r in found if (n := sum(t is not None for t in (r.first_position, r.second_position)))})
 
 
+def test_curriculum_of_shared_ids(spark):
+    """Rows that share a doc_id, or have none: those go out that the targets take."""
+    rng = random.Random(7)
+    rows = [(i if i % 3 else (None if i % 2 else 5), " ".join(["w"] * (i + 1)), rng.choice("abc")) for i in range(90)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    target = {(r.doc_id, r.size): r.target for r in mixing.mixed(table).collect()}
+    wanted = Counter()
+    for source in "abc":
+        key = lambda r: (hashlib.md5(f"11/{'' if r[0] is None else r[0]}".encode()).hexdigest(), len(r[1].split()))
+        own = sorted((r for r in rows if r[2] == source), key=key)
+        start, total = 0, sum(len(r[1].split()) for r in own)
+        for r in own:
+            size = len(r[1].split())
+            wanted[r] += sum(2 * (start + epoch * total) + size <= 2 * target[r[0], size] for epoch in (0, 1))
+            start += size
+    assert 0 in wanted.values() and Counter(map(tuple, mixing.curriculum(table).collect())) == +wanted
+
+
 def test_training_time_inverts_the_schedule(spark):
     for schedule in mixing.SCHEDULES:
         times = np.linspace(0, 1, 21)
