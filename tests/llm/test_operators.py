@@ -348,6 +348,19 @@ def test_passages(spark):
     assert set(zip(*[x.tolist() for x in passages.compact_windows(values, starts, 10)])) == wanted
 
 
+@pytest.mark.parametrize("edit", range(12, 60, 4))
+def test_alike_runs_with_a_repeated_phrase(edit):
+    """A phrase of the passage, right after an edit, also stands ahead of the passage."""
+    rng = random.Random(edit)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(75)]
+    phrase = passage[edit + 1 : edit + 9]
+    a = phrase + [word() for _ in range(40)] + passage
+    b = [word() for _ in range(30)] + passage[:edit] + ["edited"] + passage[edit + 1 :] + [word() for _ in range(30)]
+    one, two = (passages.rolled(passages.word_hashes(x), passages.SHINGLE) for x in (a, b))
+    assert [r[:4] for r in passages.alike_runs(one, two, 46, 0.8)] == [(48, 118, 30, 100)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
