@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthlake.llm import byte_bpe, exact_dedup, main_text, mixing, passages, quality_rules, shards, simhash, token_store, url_filter
+from hearthlake.llm import (
+    byte_bpe,
+    collocations,
+    exact_dedup,
+    fill_middle,
+    main_text,
+    mixing,
+    passages,
+    quality_rules,
+    shards,
+    simhash,
+    token_store,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,6 +34,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         exact_dedup.op8_exact_dedup,
         simhash.op9_simhash,
         url_filter.op10_host_reputation,
+        fill_middle.op12_fill_in_middle,
+        collocations.op13_collocations,
     )
 }
 
@@ -28,4 +43,6 @@ ORACLES: dict[str, str] = {
     "op3_quality_cascade": quality_rules.ORACLE,
     "op7_curriculum_mix": mixing.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
+    "op12_fill_in_middle": fill_middle.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
