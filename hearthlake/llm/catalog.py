@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hearthlake.llm import (
     byte_bpe,
     collocations,
+    cover_suffixes,
     exact_dedup,
     fill_middle,
     main_text,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         exact_dedup.op8_exact_dedup,
         simhash.op9_simhash,
         url_filter.op10_host_reputation,
+        cover_suffixes.op11_cover_suffixes,
         fill_middle.op12_fill_in_middle,
         collocations.op13_collocations,
     )
