@@ -33,9 +33,9 @@ SLOT_BITS = 27
 HASH_BITS = 32
 #: Words in one part of the slots, on average; and text that a task works on at a time, in bytes.
 WORDS_PER_PART = 2_000_000
-BLOCK_BYTES = 8_000_000
-#: Entries a part holds before it adds them up.
-COMPACT_ENTRIES = 4_000_000
+BLOCK_BYTES = 4_000_000
+#: Entries a part holds before it adds them up, and rows that a task hands on at a time.
+COMPACT_ENTRIES, ROWS_OUT = 4_000_000, 500
 #: Words longer than this are hashed one by one.
 LONG_WORD = 256
 
@@ -178,14 +178,16 @@ def shard_sizes(rows: DataFrame) -> DataFrame:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Rising 32-bit values as the byte planes of their differences, whose upper planes compress to nothing."""
-    steps = np.diff(values, prepend=np.uint32(0)).astype("<u4")
-    return steps.view(np.uint8).reshape(-1, 4).T.tobytes()
+    """The byte planes of the numbers, as many as the largest needs, and how many these are."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+    width = data[0]
+    out = np.zeros(((len(data) - 1) // width, 4), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(width, -1).T
+    return out.view("<u4").ravel()
 
 
 def _slot_counts(rows: DataFrame, part_bits: int, most_words: int) -> DataFrame:
@@ -207,16 +209,16 @@ def _slot_counts(rows: DataFrame, part_bits: int, most_words: int) -> DataFrame:
             head, slots = values >> np.uint64(low_bits), (values & np.uint64((1 << low_bits) - 1)).astype(np.uint32)
             begins = np.flatnonzero(np.diff(head, prepend=~np.uint64(0)) != 0)
             ends = np.append(begins[1:], len(head))
-            wide = counts.astype("<u4")
-            out = []
-            for a, b in zip(begins, ends):
-                lang, shard = groups[int(head[a]) & ((1 << group_bits) - 1)]
-                planes = wide[a:b].view(np.uint8).reshape(-1, 4).T.tobytes()
-                out.append((int(head[a]) >> group_bits, lang, shard, None, _packed(slots[a:b]), planes))
-            if out:
-                columns = zip(*out)
-                types = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_SLOT_NAMES)
+            del keys, values
+            types = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            for at in range(0, len(begins), ROWS_OUT):
+                out = []
+                for a, b in zip(begins[at : at + ROWS_OUT], ends[at : at + ROWS_OUT]):
+                    lang, shard = groups[int(head[a]) & ((1 << group_bits) - 1)]
+                    # Rising slots as the steps between them.
+                    steps = np.diff(slots[a:b], prepend=np.uint32(0))
+                    out.append((int(head[a]) >> group_bits, lang, shard, None, _packed(steps), _packed(counts[a:b])))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=_SLOT_NAMES)
 
     return rows.mapInArrow(counted, _SLOTS)
 
@@ -264,8 +266,8 @@ def _frequent_slots(part_bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 if packed is None:
                     least = low
                     continue
-                slots.append(_unpacked(packed))
-                counts.append(np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel())
+                slots.append(np.cumsum(_unpacked(packed), dtype=np.uint32))
+                counts.append(_unpacked(planes))
                 held += len(slots[-1])
                 if held > COMPACT_ENTRIES:
                     values, sums = _added(slots, counts)
