@@ -3,13 +3,19 @@
 Spark deals the documents; in each task a DuckDB database inside the worker works on a
 few megabytes of text at a time. The pieces that the pattern cuts are encoded once for
 each different piece: token-position rows join the merge table, every piece contracts its
-leftmost pair of minimum rank, and the query recurs until no piece has a pair left.
+leftmost pair of minimum rank, and the query recurs until no piece has a pair left. The
+query keeps the rows of every round, so the pieces of one call are bounded by the squares
+of their lengths. Long pieces are contracted in segments, whose ends are then mended:
+neighbouring tokens of an encoding are the encoding of their own bytes, and a sequence
+whose neighbours all are is the encoding of the whole. So two parts are joined by
+contracting what lies around their border, as far as a token that both have.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +27,11 @@ from hearthlake.llm.common import given
 
 #: Text that is worked on at a time, in bytes; a longer document is worked on alone.
 CHUNK_BYTES = 4_000_000
-#: Different pieces that one contraction takes, and that a worker remembers.
-CONTRACT_PIECES = 60_000
-REMEMBERED_PIECES = 1_000_000
+#: Rows that one contraction makes in all its rounds, at most, and bytes of different pieces that a worker remembers.
+CONTRACT_ROWS = 3_000_000
+REMEMBERED_BYTES = 8_000_000
+#: Longer pieces, in bytes, are contracted in segments; tokens on each side of a border that are contracted anew at first.
+LONG_PIECE, SEGMENT, BORDER = 96, 32, 6
 MEMORY = "400MB"
 
 #: The pattern's white space is Unicode's White_Space property.
@@ -85,8 +93,9 @@ class Coder:
                 soonest[token] = min(soonest.get(token, rank), rank)
         apart = [a != b and soonest.get(rank, rank + 1) > rank for a, b, rank in zip(left, right, merged)]
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(_pattern())
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         pairs = np.array(left, dtype=np.int64) * 16777216 + np.array(right, dtype=np.int64)
         table = pa.table({"pair": pairs, "id": pa.array(merged, pa.int32()), "apart": apart})
         tokens = pa.table({"bytes": pa.array(list(ranks), pa.binary()), "id": pa.array(list(ranks.values()), pa.int32())})
@@ -116,14 +125,18 @@ class Coder:
 
     def learn(self) -> None:
         """Encode the pieces that aren't in ``known`` yet."""
-        if self.remembered > REMEMBERED_PIECES:
+        if self.remembered > REMEMBERED_BYTES:
             self._forget()
-        self.db.execute("CREATE OR REPLACE TABLE fresh AS SELECT piece, row_number() OVER () - 1 AS word FROM (SELECT DISTINCT piece FROM pieces ANTI JOIN known USING (piece))")
-        count = self.db.execute("SELECT count(*) FROM fresh").fetchall()[0][0]
-        self.remembered += count
-        for start in range(0, count, CONTRACT_PIECES):
-            part = f"fresh WHERE word >= {start} AND word < {start + CONTRACT_PIECES}"
-            self.db.execute(f"CREATE OR REPLACE TABLE batch AS SELECT word::INT AS word, piece, encode(piece) AS bytes FROM {part}")
+        self.db.execute(
+            "CREATE OR REPLACE TABLE fresh AS SELECT *, CASE WHEN octet_length(bytes) <= $long THEN"
+            " sum(octet_length(bytes) * (octet_length(bytes) + 1) // 2) OVER (ORDER BY octet_length(bytes) > $long, word) // $rows END AS part FROM"
+            " (SELECT piece, encode(piece) AS bytes, (row_number() OVER () - 1)::INT AS word FROM (SELECT DISTINCT piece FROM pieces ANTI JOIN known USING (piece)))",
+            {"long": LONG_PIECE, "rows": CONTRACT_ROWS},
+        )
+        parts, size = self.db.execute("SELECT coalesce(max(part) + 1, 0)::INT, coalesce(sum(octet_length(bytes)), 0)::BIGINT FROM fresh").fetchall()[0]
+        self.remembered += size
+        for part in range(parts):
+            self.db.execute(f"CREATE OR REPLACE TABLE batch AS SELECT word, piece, bytes FROM fresh WHERE part = {part}")
             # A piece that is a token is that token, as the library has it.
             self.db.execute("CREATE OR REPLACE TABLE done AS SELECT word, 0 AS pos, id FROM batch JOIN vocabulary USING (bytes)")
             open_ = self.db.sql("SELECT word, bytes FROM batch ANTI JOIN done USING (word)").to_arrow_table().combine_chunks()
@@ -134,6 +147,81 @@ class Coder:
                 "INSERT INTO known SELECT piece, count(*), string_agg(d.id::VARCHAR, ' ' ORDER BY pos), decode(unhex(string_agg(hex(v.bytes), '' ORDER BY pos)))"
                 " FROM done d JOIN batch USING (word) JOIN vocabulary v ON v.id = d.id GROUP BY piece"
             )
+        long = self.db.execute("SELECT piece, bytes FROM fresh WHERE part IS NULL").fetchall()
+        if long:
+            coded = self._long([data for _, data in long])
+            columns = [
+                [piece for piece, _ in long],
+                pa.array([len(ids) for ids in coded], pa.int32()),
+                [" ".join(map(str, ids)) for ids in coded],
+                [b"".join(map(self.tokens.__getitem__, ids)).decode() for ids in coded],
+            ]
+            self.db.register("given", pa.table(columns, names=["piece", "n", "ids", "decoded"]))
+            self.db.execute("INSERT INTO known SELECT * FROM given")
+
+    def _contracted(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece, by the recursive query, each different piece once."""
+        known: dict[bytes, list[int]] = dict.fromkeys(pieces)
+        todo = list(known)
+        start = 0
+        while start < len(todo):
+            end, rows = start, 0
+            while end < len(todo) and (end == start or rows < CONTRACT_ROWS):
+                rows += len(todo[end]) * (len(todo[end]) + 1) // 2
+                end += 1
+            table = pa.table({"word": pa.array(range(end - start), pa.int32()), "bytes": pa.array(todo[start:end], pa.binary())})
+            self.db.register("start", self._positions(table))
+            found = self.db.execute(f"SELECT word, list(id ORDER BY pos) FROM ({CONTRACT}) GROUP BY word").fetchall()
+            for word, ids in found:
+                known[todo[start + word]] = ids
+            start = end
+        return [known[piece] for piece in pieces]
+
+    def _long(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each long piece: its segments', joined by twos until one part is left."""
+        cut = [[piece[at : at + SEGMENT] for at in range(0, len(piece), SEGMENT)] for piece in pieces]
+        coded = iter(self._contracted([segment for segments in cut for segment in segments]))
+        parts = [list(itertools.islice(coded, len(segments))) for segments in cut]
+        while any(len(p) > 1 for p in parts):
+            joined = iter(self._joined([pair for p in parts for pair in zip(p[::2], p[1::2])]))
+            parts = [[*itertools.islice(joined, len(p) // 2), *p[len(p) // 2 * 2 :]] for p in parts]
+        return [p[0] for p in parts]
+
+    def _joined(self, pairs: list[tuple[list[int], list[int]]]) -> list[list[int]]:
+        """Each two parts as one: what lies around the border is contracted anew, wider until a token on each side is as before."""
+        done: list[list[int]] = [[]] * len(pairs)
+        todo, width = list(range(len(pairs))), BORDER
+        while todo:
+            windows = [(pairs[i][0][-width:], pairs[i][1][:width]) for i in todo]
+            found = self._contracted([b"".join(self.tokens[t] for t in [*a, *b]) for a, b in windows])
+            wider = []
+            for i, (a, b), ids in zip(todo, windows, found):
+                left, right = pairs[i]
+                ends, before, after = self._ends(ids), self._ends(a), self._ends(b)
+                border = before[-1]
+                # Places in the window after which its tokens stay, and up to which they do: a token that both have, or the part's own end.
+                first = (0, 0) if len(a) == len(left) else self._common(before, ends)
+                turned = [ends[-1] - e for e in reversed(ends)], [after[-1] - e for e in reversed(after)]
+                last = (0, 0) if len(b) == len(right) else self._common(turned[1], turned[0])
+                if first is None or last is None or ends[first[1]] > border or ends[len(ids) - last[1]] < border:
+                    wider.append(i)
+                    continue
+                done[i] = left[: len(left) - len(a) + first[0]] + ids[first[1] : len(ids) - last[1]] + right[len(b) - last[0] :]
+            todo, width = wider, width * 2
+        return done
+
+    def _ends(self, ids: list[int]) -> list[int]:
+        """Where the tokens begin, and where the last ends."""
+        return [0, *itertools.accumulate(len(self.tokens[t]) for t in ids)]
+
+    @staticmethod
+    def _common(part: list[int], window: list[int]) -> tuple[int, int] | None:
+        """Index in both of the first place at which both have a token of the same bytes."""
+        at = {(a, b): i for i, (a, b) in enumerate(zip(window, window[1:]))}
+        for i, token in enumerate(zip(part, part[1:])):
+            if token in at:
+                return i, at[token]
+        return None
 
     def _positions(self, open_: pa.Table) -> pa.Table:
         """A row for each byte of each piece: its place, its token and the place of the next, -1 at the end."""
@@ -241,7 +329,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     without special tokens; NULL counts as empty. ids_sha256 is of the decimal ids
     joined by one space, decoded_sha256 of the bytes that the ids decode to. Rows that
     repeat are encoded each for itself; an empty table gives an empty result. No
-    shuffle; memory is bounded by the longest document, not by the partition.
+    shuffle; memory grows with the longest document, in a line, not with the partition.
     """
     return _mapped(
         docs,
