@@ -29,6 +29,11 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def apart(docs: DataFrame, *used: str) -> DataFrame:
+    """The frame with all columns but the used ones renamed, so that none clashes with a helper column; ``toDF(*docs.columns)`` turns it back."""
+    return docs.toDF(*[c if c in used else f"_extra_{i}" for i, c in enumerate(docs.columns)])
+
+
 def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD + "+"), F.lit(0))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm.common import ascii_lower, checkpointed, given, whole_text
+from hearthlake.llm.common import apart, ascii_lower, checkpointed, given, whole_text
 
 #: Parts of one digest group; a third of 10^11 rows still leaves each part a few rows for every map task.
 SALTS = 16
@@ -73,13 +73,14 @@ def exact_duplicates(
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; of rows that repeat doc_id and text, one."""
+    """The rows of ``docs`` that stay, all columns, whatever their names; of rows that repeat doc_id and text, one."""
+    names, docs = docs.columns, apart(docs, "doc_id", "text")
     found = exact_duplicates(docs)
     kept = found.where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.count(F.lit(1)).alias("_rows"))
     match = F.col("doc_id").eqNullSafe(F.col("_id")) & (sha256_digest(ascii_lower(whole_text())) == F.col("_sha"))
     rows = docs.join(kept, match)
     once = rows.where("_rows = 1").select(*docs.columns)
-    return once.unionByName(rows.where("_rows > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns))
+    return once.unionByName(rows.where("_rows > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns)).toDF(*names)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm.common import checkpointed, given, whole_text
+from hearthlake.llm.common import apart, checkpointed, given, whole_text
 from hearthlake.llm.components import components
 from hearthlake.llm.exact_dedup import sha256_digest
 
@@ -143,7 +143,9 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component, all columns: that with the smallest doc_id, NULL last, and of these the smallest digest of the text.
 
     Rows that share a doc_id, or have none, are different documents where their texts differ.
+    Other columns may have any names.
     """
+    names, docs = docs.columns, apart(docs, "doc_id", "text")
     rows = checkpointed(fingerprints(docs, digest=True))
     each = rows.groupBy("fp", "doc_id", "_sha").agg(F.count(F.lit(1)).alias("_rows"))
     rooted = with_roots(rows.select("fp").distinct()).select("fp", "root")
@@ -152,7 +154,7 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     match = F.col("doc_id").eqNullSafe(F.col("_id")) & (sha256_digest(whole_text()) == F.col("_sha"))
     found = docs.join(chosen, match)
     once = found.where("_rows = 1").select(*docs.columns)
-    return once.unionByName(found.where("_rows > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns))
+    return once.unionByName(found.where("_rows > 1").dropDuplicates(["_id", "_sha"]).select(*docs.columns)).toDF(*names)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
