@@ -40,11 +40,15 @@ PERIOD = 91
 COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
 #: Text that a task works on at a time, in bytes, or one longer text.
 BLOCK_BYTES = 4_000_000
-#: Suffixes that a bucket sorts at a time, on average.
-BUCKET_ROWS = 500_000
+#: Suffixes of a bucket, on average, and how many of them a task unpacks and sorts at a time, by their fingerprint.
+BUCKET_ROWS, SLICE_ROWS = 8_000_000, 1_000_000
 #: Bytes of a text's digest that tell texts apart; bytes of a fingerprint beside its bucket, of a cover suffix and of a
-#: whole suffix. With buckets of half a million a wrong stretch needs a chance of 2^-48 at the one place beside a true one.
-KEY_BYTES, RANK_BYTES, SUFFIX_BYTES = 16, 6, 12
+#: whole suffix. A stretch gets wrong only if the one suffix that would lengthen it shares a bucket and 40 bits with another
+#: string: less than once in a million corpora of any size, since buckets grow in number with the corpus.
+KEY_BYTES, RANK_BYTES, SUFFIX_BYTES = 16, 5, 9
+
+#: Rows that a task hands back at a time.
+ROWS_OUT = 2_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 RANKS, SUFFIXES, PASSING = 0, 1, 2
@@ -151,7 +155,7 @@ def _bucket_rows(
     kind: int, keys: np.ndarray, doc: np.ndarray, number: np.ndarray, prints: np.ndarray, proof: np.ndarray | None, marks: np.ndarray, bits: int
 ) -> list[tuple]:
     """Rows by bucket, the leading bits of the fingerprints; ``doc`` and ``number`` rise."""
-    width = RANK_BYTES if proof is None else 8
+    width, rest = (RANK_BYTES, prints << np.uint64(bits)) if proof is None else (8, prints << np.uint64(bits) | proof >> np.uint64(64 - bits))
     bucket = (prints >> np.uint64(64 - bits)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     out = []
@@ -166,7 +170,7 @@ def _bucket_rows(
                 keys[docs].tobytes(),
                 _planes(counts.astype(np.uint64), 5),
                 _lists(number[mine], counts),
-                _planes((prints[mine] << np.uint64(bits)) >> np.uint64(64 - 8 * width), width) + (b"" if proof is None else _planes(proof[mine], 4)),
+                _planes(rest[mine] >> np.uint64(64 - 8 * width), width) + (b"" if proof is None else _planes(proof[mine], SUFFIX_BYTES - 8)),
                 np.packbits(marks[mine]).tobytes(),
             )
         )
@@ -305,42 +309,64 @@ def _sorted_buckets(answer):
 
 
 def _answers(answer, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    keys, numbers, prints, proof, marks = [], [], [], [], []
+    """A bucket's answers, a slice of its fingerprints at a time: its rows stay packed."""
+    width = RANK_BYTES if held[0][1] == RANKS else SUFFIX_BYTES
+    slices = max(1, sum(len(row[5]) for row in held) // width // SLICE_ROWS)
+    for at in range(slices):
+        yield from _slice_answers(answer, held, at, slices)
+
+
+def _slice_answers(answer, held: list[tuple], at: int, slices: int) -> Iterator[pa.RecordBatch]:
+    keys, sizes, numbers, prints, proof, marks = [], [], [], [], [], []
     for _, kind, key, counts, number, found, mark in held:
         counts = _of_planes(counts, 5).astype(np.int64)
-        keys.append(np.repeat(np.frombuffer(key, dtype=np.uint8).reshape(-1, KEY_BYTES), counts, axis=0))
-        numbers.append(_of_lists(number, counts))
+        whole = int(counts.sum())
+        # The highest byte tells the slices apart.
         width = RANK_BYTES if kind == RANKS else 8
-        prints.append(_of_planes(found[: width * len(numbers[-1])], width))
+        wanted = np.frombuffer(found, dtype=np.uint8, count=whole, offset=whole * (width - 1)).astype(np.int32) * slices >> 8 == at
+        ends = np.cumsum(counts)
+        keys.append(np.frombuffer(key, dtype=f"V{KEY_BYTES}"))
+        sizes.append(np.diff(np.concatenate([[0], np.cumsum(wanted)])[ends], prepend=0))
+        numbers.append(_of_lists(number, counts)[wanted])
+        prints.append(_of_planes(found[: width * whole], width)[wanted])
         if kind == SUFFIXES:
-            proof.append(_of_planes(found[width * len(numbers[-1]) :], SUFFIX_BYTES - width))
-        marks.append(np.unpackbits(np.frombuffer(mark, dtype=np.uint8))[: len(numbers[-1])].astype(bool))
-    keys, number, prints, marks = np.concatenate(keys), np.concatenate(numbers), np.concatenate(prints), np.concatenate(marks)
-    # The key's bytes as two big-endian numbers sort as the bytes do.
-    halves = keys.view(">u8").reshape(-1, 2).astype(np.uint64)
-    order, group, first = _groups(prints, np.concatenate(proof) if proof else None, halves[:, 0], halves[:, 1], number)
-    keys, number, marks = keys[order], number[order], marks[order]
+            proof.append(_of_planes(found[width * whole :], SUFFIX_BYTES - width)[wanted].astype(np.uint32))
+        marks.append(np.unpackbits(np.frombuffer(mark, dtype=np.uint8))[:whole][wanted].astype(bool))
+    if not sum(map(len, numbers)):
+        return
+    # Texts by their rank: the key's bytes as two big-endian numbers sort as the bytes do.
+    entries = np.concatenate(keys).view(">u8").reshape(-1, 2)
+    texts, rank = np.unique(entries[:, 0].astype(np.uint64), return_inverse=True)
+    if len(texts) == len(entries) or (entries[:, 1] == entries[np.unique(rank, return_index=True)[1], 1][rank]).all():
+        first_of = np.unique(rank, return_index=True)[1]
+    else:  # two texts share eight bytes
+        rank = np.unique(entries.astype(np.uint64), axis=0, return_inverse=True)[1].ravel()
+        first_of = np.unique(rank, return_index=True)[1]
+    names = np.concatenate(keys)[first_of]
+    text = np.repeat(rank.astype(np.int32), np.concatenate(sizes))
+    number, prints, marks = np.concatenate(numbers), np.concatenate(prints), np.concatenate(marks)
+    del keys, sizes, numbers, entries
+    order, group, first = _groups(prints, np.concatenate(proof) if proof else None, text, number)
+    del prints, proof
+    text, number, marks = text[order], number[order], marks[order]
     last = np.append(first[1:], len(order)) - 1
     # The first and the last of a group differ unless all its rows are one suffix.
-    shared = (number[first] != number[last]) | (keys[first] != keys[last]).any(axis=1)
+    shared = (number[first] != number[last]) | (text[first] != text[last])
     shared |= np.logical_or.reduceat(marks, first)
     # A suffix that several blocks sent counts once.
-    again = np.concatenate([[False], (np.diff(group) == 0) & (np.diff(number) == 0) & (keys[1:] == keys[:-1]).all(axis=1)])
+    again = np.concatenate([[False], (np.diff(group) == 0) & (np.diff(number) == 0) & (np.diff(text) == 0)])
     mine = np.flatnonzero(shared[group] & ~again)
-    if not len(mine):
-        return
     partner = first[group[mine]]
-    whole = np.ascontiguousarray(keys[mine]).view(f"V{KEY_BYTES}").ravel()
-    _, of_text = np.unique(keys[mine].view(">u8").reshape(-1, 2), axis=0, return_inverse=True)
-    by_text = np.lexsort((number[mine], of_text.ravel()))
-    of_text = of_text.ravel()[by_text]
+    by_text = np.lexsort((number[mine], text[mine]))
     mine, partner = mine[by_text], partner[by_text]
-    edges = np.flatnonzero(np.diff(of_text, prepend=-1))
+    edges = np.flatnonzero(np.diff(text[mine], prepend=-1))
     out = []
     for a, b in zip(edges, np.append(edges[1:], len(mine))):
-        key = whole[by_text[a]].tobytes()
-        out.append((key, None, *answer(number[mine[a:b]], keys[partner[a:b]], number[partner[a:b]])))
-    yield _batch(out, _TEXT_NAMES, _TEXT_TYPES)
+        p = partner[a:b]
+        found = answer(number[mine[a:b]], names[text[p]].view(np.uint8).reshape(-1, KEY_BYTES), number[p])
+        out.append((names[text[mine[a]]].tobytes(), None, *found))
+    for a in range(0, len(out), ROWS_OUT):
+        yield _batch(out[a : a + ROWS_OUT], _TEXT_NAMES, _TEXT_TYPES)
 
 
 def _stretches(cover: Cover, key: bytes, links: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
@@ -396,7 +422,7 @@ def _unsettled(cover: Cover, bits: int, most: int):
             doc = np.repeat(np.arange(len(texts)), counts)
             place = np.concatenate([p for _, _, p in texts]).astype(np.int64)
             prints = fingerprints(data, (np.cumsum(sizes) - sizes)[doc] + place, cover.length)
-            proof = fingerprints(data, (np.cumsum(sizes) - sizes)[doc] + place, cover.length, seed=1) >> np.uint64(32)
+            proof = fingerprints(data, (np.cumsum(sizes) - sizes)[doc] + place, cover.length, seed=1)
             # As for the ranks: equal suffixes of one block are settled here, the least stands for them.
             least, many, _ = _least(prints, proof)
             mine = np.flatnonzero(least)
@@ -450,7 +476,7 @@ def _packed_texts(cover: Cover, most: int):
     """Texts long enough to hold a repeat, once for each block of a task, compressed."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for rows in _blocks(batches, most):
             texts = {key: text for key, text in rows if len(text) >= cover.length}
             yield _batch([(key, pack(text), None, None) for key, text in texts.items()], _TEXT_NAMES, _TEXT_TYPES)
@@ -486,6 +512,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, period: int = PERIOD,
     # A text and its links meet once; both later steps read this one exchange.
     met = (
         texts.unionByName(links)
+        .where("key IS NOT NULL")
         .groupBy("key")
         .agg(F.max("blob").alias("blob"), F.collect_list("links").alias("links"))
         .where(F.size("links") > 0)
