@@ -41,14 +41,16 @@ COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
 #: Text that a task works on at a time, in bytes, or one longer text.
 BLOCK_BYTES = 4_000_000
 #: Suffixes of a bucket, on average, and how many of them a task unpacks and sorts at a time, by their fingerprint.
-BUCKET_ROWS, SLICE_ROWS = 8_000_000, 1_000_000
+BUCKET_ROWS, SLICE_ROWS = 4_000_000, 1_500_000
 #: Bytes of a text's digest that tell texts apart; bytes of a fingerprint beside its bucket, of a cover suffix and of a
 #: whole suffix. A stretch gets wrong only if the one suffix that would lengthen it shares a bucket and 40 bits with another
 #: string: less than once in a million corpora of any size, since buckets grow in number with the corpus.
-KEY_BYTES, RANK_BYTES, SUFFIX_BYTES = 16, 5, 9
+DIGEST_BYTES, RANK_BYTES, SUFFIX_BYTES = 12, 5, 9
+#: Bytes of a text's key: its digest and zeros, two numbers of 64 bits.
+KEY_BYTES = 16
 
-#: Rows that a task hands back at a time.
-ROWS_OUT = 2_000
+#: Rows that a task hands back at a time, and bytes of answers that it gathers by text before.
+ROWS_OUT, ANSWER_BYTES = 2_000, 16_000_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 RANKS, SUFFIXES, PASSING = 0, 1, 2
@@ -117,7 +119,7 @@ def _of_lists(data: bytes, counts: np.ndarray) -> np.ndarray:
 
 
 def _key_of(text: str) -> str:
-    return f"unhex(substring(sha2({text}, 256), 1, {2 * KEY_BYTES}))"
+    return f"unhex(rpad(substring(sha2({text}, 256), 1, {2 * DIGEST_BYTES}), {2 * KEY_BYTES}, '0'))"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]]:
@@ -167,7 +169,7 @@ def _bucket_rows(
             (
                 int(bucket[mine[0]]),
                 kind,
-                keys[docs].tobytes(),
+                keys[docs, :DIGEST_BYTES].tobytes(),
                 _planes(counts.astype(np.uint64), 5),
                 _lists(number[mine], counts),
                 _planes(rest[mine] >> np.uint64(64 - 8 * width), width) + (b"" if proof is None else _planes(proof[mine], SUFFIX_BYTES - 8)),
@@ -285,30 +287,56 @@ def _sorted_buckets(answer):
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
+        texts: dict[bytes, tuple[list[bytes], list[bytes]]] = {}
+        size = 0
+
+        def close() -> int:
+            """Answers of the bucket that is held, gathered by text; their bytes."""
+            total = 0
+            for key, *found in _answers(answer, held) if held else ():
+                total += _gathered(texts, key, found)
+            held.clear()
+            return total
+
         for batch in batches:
             passing: dict[bytes, tuple[list, list]] = {}
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                if row[1] == PASSING:
-                    for rows, found in zip(passing.setdefault(row[2], ([], [])), row[5:]):
-                        if found is not None:
-                            rows.append(found)
+            for at, kind, *packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *(batch.column(i) for i in range(2, 7))):
+                if kind == PASSING:
+                    _gathered(passing, packed[0].as_py(), [p.as_py() for p in packed[3:]])
                     continue
-                if row[0] != bucket:
-                    if held:
-                        yield from _answers(answer, held)
-                    bucket, held = row[0], []
-                held.append(row)
-            if passing:
+                if at != bucket:
+                    size += close()
+                    bucket = at
+                    if size > ANSWER_BYTES:
+                        yield from _rows_of(texts)
+                        size = 0
+                # The batch's own memory, not a copy.
+                held.append((at, kind, *(p.as_buffer() for p in packed)))
+            for key, (links, intervals) in passing.items():
                 # What many blocks report of one text is combined here.
-                combined = [(key, None, _distinct_links(a) if a else None, _of_intervals(b).tobytes() if b else None) for key, (a, b) in passing.items()]
-                yield _batch(combined, _TEXT_NAMES, _TEXT_TYPES)
-        if held:
-            yield from _answers(answer, held)
+                size += _gathered(texts, key, [_distinct_links(links) if links else None, _of_intervals(intervals).tobytes() if intervals else None])
+        close()
+        yield from _rows_of(texts)
 
     return made
 
 
-def _answers(answer, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+def _gathered(texts: dict[bytes, tuple[list[bytes], list[bytes]]], key: bytes, found: list[bytes | None]) -> int:
+    """Put links and intervals to those of their text; their bytes."""
+    for rows, one in zip(texts.setdefault(key, ([], [])), found):
+        if one is not None:
+            rows.append(one)
+    return sum(len(one) for one in found if one is not None)
+
+
+def _rows_of(texts: dict[bytes, tuple[list[bytes], list[bytes]]]) -> Iterator[pa.RecordBatch]:
+    rows = [(key, None, b"".join(links) if links else None, b"".join(intervals) if intervals else None) for key, (links, intervals) in texts.items()]
+    texts.clear()
+    for a in range(0, len(rows), ROWS_OUT):
+        yield _batch(rows[a : a + ROWS_OUT], _TEXT_NAMES, _TEXT_TYPES)
+
+
+def _answers(answer, held: list[tuple]) -> Iterator[tuple]:
     """A bucket's answers, a slice of its fingerprints at a time: its rows stay packed."""
     width = RANK_BYTES if held[0][1] == RANKS else SUFFIX_BYTES
     slices = max(1, sum(len(row[5]) for row in held) // width // SLICE_ROWS)
@@ -316,7 +344,7 @@ def _answers(answer, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield from _slice_answers(answer, held, at, slices)
 
 
-def _slice_answers(answer, held: list[tuple], at: int, slices: int) -> Iterator[pa.RecordBatch]:
+def _slice_answers(answer, held: list[tuple], at: int, slices: int) -> Iterator[tuple]:
     keys, sizes, numbers, prints, proof, marks = [], [], [], [], [], []
     for _, kind, key, counts, number, found, mark in held:
         counts = _of_planes(counts, 5).astype(np.int64)
@@ -325,7 +353,9 @@ def _slice_answers(answer, held: list[tuple], at: int, slices: int) -> Iterator[
         width = RANK_BYTES if kind == RANKS else 8
         wanted = np.frombuffer(found, dtype=np.uint8, count=whole, offset=whole * (width - 1)).astype(np.int32) * slices >> 8 == at
         ends = np.cumsum(counts)
-        keys.append(np.frombuffer(key, dtype=f"V{KEY_BYTES}"))
+        whole_keys = np.zeros((len(counts), KEY_BYTES), dtype=np.uint8)
+        whole_keys[:, :DIGEST_BYTES] = np.frombuffer(key, dtype=np.uint8).reshape(-1, DIGEST_BYTES)
+        keys.append(whole_keys.view(f"V{KEY_BYTES}").ravel())
         sizes.append(np.diff(np.concatenate([[0], np.cumsum(wanted)])[ends], prepend=0))
         numbers.append(_of_lists(number, counts)[wanted])
         prints.append(_of_planes(found[: width * whole], width)[wanted])
@@ -360,13 +390,9 @@ def _slice_answers(answer, held: list[tuple], at: int, slices: int) -> Iterator[
     by_text = np.lexsort((number[mine], text[mine]))
     mine, partner = mine[by_text], partner[by_text]
     edges = np.flatnonzero(np.diff(text[mine], prepend=-1))
-    out = []
     for a, b in zip(edges, np.append(edges[1:], len(mine))):
         p = partner[a:b]
-        found = answer(number[mine[a:b]], names[text[p]].view(np.uint8).reshape(-1, KEY_BYTES), number[p])
-        out.append((names[text[mine[a]]].tobytes(), None, *found))
-    for a in range(0, len(out), ROWS_OUT):
-        yield _batch(out[a : a + ROWS_OUT], _TEXT_NAMES, _TEXT_TYPES)
+        yield names[text[mine[a]]].tobytes(), *answer(number[mine[a:b]], names[text[p]].view(np.uint8).reshape(-1, KEY_BYTES), number[p])
 
 
 def _stretches(cover: Cover, key: bytes, links: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
@@ -491,7 +517,7 @@ def _bits(rows: int) -> int:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, period: int = PERIOD, residues: tuple[int, ...] = COVER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n_removed, n_spans, kept_sha256, spans) of each different text in which a string of ``length`` bytes repeats.
 
-    ``docs`` has text. key is the first 16 bytes of the text's SHA-256; spans are the
+    ``docs`` has text. key is the first 12 bytes of the text's SHA-256, and zeros; spans are the
     maximal runs of bytes covered by a repeating string. Rows with an equal text are one
     text here, see ``without_repeats``.
     """
