@@ -21,6 +21,8 @@ WHITE_SPACE = (
 )
 # Stands for a removed tag while entities are decoded; not allowed in HTML text.
 TAG_MARK = "\u0001"
+# Rounds of a running sum: 2 to this power is more than the tags that a text can hold.
+SCAN_ROUNDS = 29
 # The HTML 5 names that end in a semicolon with what they stand for, as the text of a map; short names are met most and come first.
 ENTRY_MARK, NAME_MARK = "\u0002", "\u0003"
 ENTITIES = ENTRY_MARK.join(f"{name[:-1]}{NAME_MARK}{found}" for name, found in sorted(html5.items(), key=lambda e: len(e[0])) if name.endswith(";"))
@@ -111,35 +113,81 @@ def unquote(attribute: Column) -> Column:
     return unescape(F.regexp_replace(attribute, "^[\"']|[\"']$", ""))
 
 
+def running_sum(values: Column) -> Column:
+    """Sums of an array of numbers up to each place, in rounds that add what stands 1, 2, 4, ... places before.
+
+    A round costs the length of the array, and there are as many as its length has binary
+    digits; adding up place by place would copy the array each time.
+    """
+    def added(sums: Column, step: Column) -> Column:
+        one = F.transform(sums, lambda x, i: x + F.when(i >= step, F.coalesce(F.get(sums, i - step), F.lit(0))).otherwise(F.lit(0)))
+        return F.when(F.size(sums) > step, one).otherwise(sums)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(SCAN_ROUNDS)]), values, added)
+
+
 def elements(markup: Column, tag: str, opening: str) -> Column:
     """All elements of the name whose start tag matches ``opening``, in page order, nested ones too.
 
     An element ends where its start and end tags balance; if they never do, at the first
     end tag; without one it is left out. NULL where no start tag matches.
+
+    All ends are found at once: tags are sorted by depth and place, and behind a start tag
+    stands the end tag that closes it, if there is one. The cost grows with the number of
+    tags times its logarithm, and with the length of the elements.
     """
-    def balanced(acc: Column, sign: Column) -> Column:
-        open_, places = acc["open"] + sign, acc["places"] + 1
-        end = F.when((acc["end"] == 0) & (open_ == 0), places).otherwise(acc["end"])
-        return F.struct(open_.alias("open"), places.alias("places"), end.alias("end"))
 
     def of_pieces(pieces: Column) -> Column:
         signs = F.transform(
             pieces,
             lambda p: F.when(p.rlike(rf"(?i)^</{tag}\b"), F.lit(-1)).when(p.rlike(rf"(?i)^<{tag}\b"), F.lit(1)).otherwise(F.lit(0)),
         )
+        return let(signs, lambda s: let(running_sum(s), lambda depths: of_depths(pieces, s, depths)))
+
+    def of_depths(pieces: Column, signs: Column, depths: Column) -> Column:
+        # Only what stands before the first tag is no tag.
+        plain = F.when(F.get(signs, F.lit(0)) == 0, F.lit(1)).otherwise(F.lit(0))
+
+        def starts_to(i: Column) -> Column:
+            return F.floor((i + 1 - plain + F.get(depths, i)) / 2).cast("int")
+
+        places = F.sequence(F.lit(0), F.size(pieces) - 1)
+        tags = F.transform(
+            F.filter(places, lambda i: F.get(signs, i) != 0),
+            lambda i: F.struct(
+                (F.get(depths, i) + F.when(F.get(signs, i) < 0, F.lit(1)).otherwise(F.lit(0))).alias("depth"),
+                i.alias("place"),
+                (F.get(signs, i) < 0).alias("ends"),
+            ),
+        )
 
-        def at(signs: Column, i: Column) -> Column:
-            def cut(end: Column) -> Column:
-                body = F.array_join(F.slice(pieces, i + 1, end - 1), "")
-                return F.when(end > 0, F.concat(body, F.regexp_extract(F.get(pieces, i + end - 1), "^[^>]*>?", 0)))
+        def closed(sorted_tags: Column) -> Column:
+            def end(tag_: Column, k: Column) -> Column:
+                behind = F.get(sorted_tags, k + 1)
+                return F.struct(tag_["place"].alias("place"), F.when(behind["ends"] & (behind["depth"] == tag_["depth"]), behind["place"]).alias("end"), tag_["ends"].alias("ends"))
+
+            return F.filter(F.transform(sorted_tags, end), lambda t: ~t["ends"])
+
+        # Start tags in page order, each with the place of its end tag or NULL.
+        pairs = F.array_sort(let(F.array_sort(tags), closed))
+        ends = F.filter(places, lambda i: F.get(signs, i) < 0)
+
+        def cut(pairs: Column, ends: Column) -> Column:
+            def body(i: Column) -> Column:
+                balanced = F.get(pairs, starts_to(i) - 1)["end"]
+                any_end = F.get(ends, i + 1 - plain - starts_to(i))
+                return let(
+                    F.coalesce(balanced, any_end),
+                    lambda end: F.when(
+                        end.isNotNull(),
+                        F.concat(F.array_join(F.slice(pieces, i + 1, end - i), ""), F.regexp_extract(F.get(pieces, end), "^[^>]*>?", 0)),
+                    ),
+                )
 
-            rest = F.slice(signs, i + 1, F.size(signs))
-            none = F.struct(*[F.lit(0).alias(n) for n in ("open", "places", "end")])
-            end = let(F.aggregate(rest, none, balanced)["end"], lambda e: F.when(e > 0, e))
-            return let(F.coalesce(end, F.array_position(rest, F.lit(-1)).cast("int")), cut)
+            starts = F.filter(places, lambda i: (F.get(signs, i) > 0) & F.get(pieces, i).rlike("^" + opening))
+            return F.filter(F.transform(starts, body), lambda e: e.isNotNull())
 
-        starts = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: F.get(pieces, i).rlike("^" + opening))
-        return let(signs, lambda s: F.filter(F.transform(starts, lambda i: at(s, i)), lambda e: e.isNotNull()))
+        return let(pairs, lambda p: let(ends, lambda e: cut(p, e)))
 
     found = let(F.split(markup, rf"(?i)(?=</?{tag}\b)"), of_pieces)
     return F.when(markup.rlike(opening), found)

@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 from hearthlake.functions.text import absolute_url, around, elements, normalize_url, raw_text_of, strip, text_of, unquote
 from hearthlake.operators.columns import LISTING_SCHEMA, conform
 from hearthlake.operators.dedup import dedup_keep_last
+from hearthlake.operators.prefilter import key_bitmap, with_possible_key
+from hearthlake.session import staged
 
 # Texts and patterns that decide what is found.
 BLOCKED_TEXTS = ["Cloudflare", "Checking your browser"]
@@ -258,13 +260,16 @@ def extract_listings(
     """Listings behind the first ``limit`` links of each result page, one row per link.
 
     ``detail_pages`` holds one stored page per url, or several fetches of a url of which
-    the last in the order of the columns ``fetched`` counts. Fields are extracted once per
-    detail page and before the join, which then moves short listing rows only. When
-    one listing is linked from very many pages the links are the skewed side and
-    adaptive execution splits them.
+    the last in the order of the columns ``fetched`` counts. Links are found first and
+    written to the shared folder; detail pages that none of them can lead to are left out
+    before anything is looked for in them, by a bitmap of the linked urls, so no page is
+    shuffled. Fields are extracted once per detail page and before the join, which then
+    moves short listing rows only. When one listing is linked from very many pages the
+    links are the skewed side and adaptive execution splits them.
     """
-    links = links_per_page(result_pages, limit).select("page_id", "position", F.col("link").alias("url"))
-    details = extract_details(detail_pages, collected_on, fetched)
+    links = staged(links_per_page(result_pages, limit).select("page_id", "position", F.col("link").alias("url")))
+    linked = with_possible_key(detail_pages, normalize_url(F.col("url")), key_bitmap(links, "url"))
+    details = extract_details(linked, collected_on, fetched)
     if fetched:
         details = dedup_keep_last(details, fetched, "url").drop(*fetched)
     return links.join(details, "url").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -23,3 +23,10 @@ def shared_folder(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="hearthlake-")
         spark.conf.set(CHECKPOINT_SETTING, root)
     return f"{root.rstrip('/')}/hearthlake-{uuid.uuid4().hex}"
+
+
+def staged(frame: DataFrame) -> DataFrame:
+    """The frame written to the shared folder, for what is read twice and costly to compute."""
+    folder = shared_folder(frame.sparkSession)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)

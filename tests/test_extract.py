@@ -1,12 +1,15 @@
 """Extraction from pages. The accepted markup is stated by the cases."""
 
+import itertools
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from hearthlake.operators import extract
+from hearthlake.functions.text import elements, normalize_url, running_sum
+from hearthlake.operators import extract, prefilter
 
 SITE = "https://nhadat247.com.vn"
 
@@ -192,3 +195,68 @@ def test_long_pages_are_read_whole(spark, size):
         "title", "area", extract.coordinates(F.col("html")).alias("at")
     ).first()
     assert (row.title, row.area, tuple(row["at"])) == ("End", "77 m²", (10.5, 106.5))
+
+
+def test_running_sum(spark):
+    rows = spark.createDataFrame([([],), ([5],), (list(range(-40, 60)),)], "a array<int>")
+    for row in rows.select("a", running_sum(F.col("a")).alias("s")).collect():
+        assert row.s == list(itertools.accumulate(row.a))
+
+
+def balanced_elements(markup):
+    """Start tags of spans with what they hold: to the balancing end tag, else the next one, else left out."""
+    tags = [(m.start(), m.group()) for m in re.finditer(r"(?i)</?span\b", markup)]
+    out = []
+    for i, (at, tag) in enumerate(tags):
+        if tag[1] == "/" or not re.match(r"(?is)<span\b[^>]*>", markup[at:]):
+            continue
+        depth, end = 0, None
+        for place, other in tags[i:]:
+            depth += -1 if other[1] == "/" else 1
+            if depth == 0:
+                end = place
+                break
+        if end is None:
+            end = next((place for place, other in tags[i:] if other[1] == "/"), None)
+        if end is not None:
+            out.append(markup[at:end] + re.match("[^>]*>?", markup[end:]).group())
+    return out
+
+
+def test_elements_against_brute_force(spark):
+    draw = random.Random(2)
+    bits = ["<span>", '<span class="a">', "</span>", "x", "<b>", "</SPAN>", "<spanx>", " y ", "</span >", "é"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(30))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, m string")
+    found = rows.select("id", elements(F.col("m"), "span", r"(?is)<span\b[^>]*>").alias("e")).collect()
+    for row in found:
+        assert (row.e or []) == balanced_elements(texts[row.id])
+
+
+def test_long_pages_cost_in_proportion(spark):
+    """8,000 spans, nested or in a row, are as good as at once; place by place they took many times as long as 4,000."""
+    for page in ("<span>Ward 1</span>" * 8000, "<span>" * 400 + "</span>" * 400 + "<span>x" * 8000):
+        pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+        start = time.time()
+        assert extract.with_address(extract.with_elements(pages)).select("address").first().address is None
+        assert time.time() - start < 60
+
+
+def test_only_possibly_linked_pages_are_read(spark):
+    """Half of the pages aren't linked: they pass the bitmap by chance at most, and no page is shuffled."""
+    pages = spark.range(2000).select(F.col("id").alias("page_id"), F.concat(F.lit("/tin-pid"), "id").alias("url"), F.lit("<h1>T</h1>").alias("html"))
+    links = pages.where("page_id % 2 = 0").select(normalize_url(F.col("url")).alias("url")).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS url"))
+    some = pages.unionByName(spark.createDataFrame([(-1, None, "x")], "page_id long, url string, html string"))
+    found = prefilter.with_possible_key(some, normalize_url(F.col("url")), prefilter.key_bitmap(links, "url"))
+    ids = {r.page_id for r in found.collect()}
+    assert ids >= set(range(0, 2000, 2)) and len(ids) < 1010 and -1 not in ids
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    few = prefilter.with_possible_key(some, normalize_url(F.col("url")), prefilter.key_bitmap(links, "url", 8), 8)
+    assert {r.page_id for r in few.collect()} >= set(range(0, 2000, 2))
+
+
+def test_listings_of_linked_pages_only(spark):
+    results = spark.createDataFrame([(1, "r", '<a href="/tin-pid2">x</a><a href="/tin-pid9">x</a>')], "page_id long, url string, html string")
+    details = spark.createDataFrame([(i, f"/tin-pid{i}", f"<h1>T{i}</h1>") for i in range(8)], "page_id long, url string, html string")
+    assert [r["Tiêu đề"] for r in extract.extract_listings(results, details, "2024-01-01").collect()] == ["T2"]
