@@ -17,7 +17,7 @@ from hearthlake.operators.extract import DEFAULT_LINKS_PER_PAGE, extract_listing
 from hearthlake.operators.upsert import upsert_by_key
 from hearthlake.session import shared_folder
 from hearthlake.sources.serving import serving_rows
-from hearthlake.sources.snapshots import latest_version, read_current, write_snapshot
+from hearthlake.sources.snapshots import BUCKETS, buckets_of, latest_version, live_buckets, read_buckets, read_current, write_buckets, write_snapshot
 
 
 def find_listings(
@@ -53,7 +53,7 @@ def find_listings(
 
 
 def merge_listings(
-    listings: DataFrame, root: str, order: Sequence[Column | str], transient: Sequence[str] = ()
+    listings: DataFrame, root: str, order: Sequence[Column | str], transient: Sequence[str] = (), buckets: int = BUCKETS
 ) -> int:
     """Upsert listings into the stored table and return its new version.
 
@@ -61,10 +61,12 @@ def merge_listings(
     the upsert reads them twice and would otherwise extract them twice. Columns that
     only serve the order are named in ``transient`` and not stored. The stored table keeps
     all its columns, bulky ones too. A column may come or go; numbers take the wider of
-    both types, any other change of type is refused. This form writes the whole table
-    anew, at the cost of its size; where the catalog has a format with transactions,
-    ``upsert.merge_into`` touches the changed rows only. The old version of the table stays as it is, so a
-    failed attempt leaves it readable; without new rows it stays the current one.
+    both types, any other change of type is refused. The table lies in buckets of its key:
+    only the buckets of the new rows' keys are read and written, the others stay as they
+    are. The whole table is written anew where its columns change. ``buckets`` is for a
+    table that has none yet; choose it so that a bucket is a few files. The old version of the
+    table stays as it is, so a failed attempt leaves it readable; without new rows it stays
+    the current one.
     """
     spark = listings.sparkSession
     latest = dedup_keep_last(with_merge_key(listings), order, MERGE_KEY).drop(*transient)
@@ -72,22 +74,32 @@ def merge_listings(
     latest.write.parquet(staged)
     new = spark.read.schema(latest.schema).parquet(staged)
     try:
-        return _merge_staged(spark, new, root)
+        return _merge_staged(spark, new, root, buckets)
     finally:
         _delete(spark, staged)
 
 
-def _merge_staged(spark: SparkSession, new: DataFrame, root: str) -> int:
+def _merge_staged(spark: SparkSession, new: DataFrame, root: str, buckets: int) -> int:
     current = read_current(spark, root, without=())
     if current is None:
-        return write_snapshot(new, root, "CREATE")
+        return write_snapshot(new, root, "CREATE") if new.isEmpty() else write_buckets(new, root, MERGE_KEY, "CREATE", True, buckets)
+    stored = current
     current, new = widened(current, new), widened(new, current)
     changed = [name for name, *_, status in schema_diff(current, new) if status == "changed"]
     if changed:
         raise ValueError(f"columns of another type than stored: {', '.join(changed)}")
     if new.isEmpty():
         return latest_version(spark, root)
-    return write_snapshot(upsert_by_key(current, new), root, "MERGE")
+    live, had = live_buckets(spark, root, latest_version(spark, root))
+    merged = upsert_by_key(current, new)
+    if not live or _kinds(merged) != _kinds(stored):
+        return write_buckets(merged, root, MERGE_KEY, "MERGE", True, had or buckets)
+    touched = read_buckets(spark, root, live, buckets_of(new, MERGE_KEY, had))
+    return write_buckets(upsert_by_key(touched, new).select(*[f"`{c}`" for c in stored.columns]), root, MERGE_KEY, "MERGE", False, had)
+
+
+def _kinds(df: DataFrame) -> dict[str, object]:
+    return {field.name: field.dataType for field in df.schema.fields}
 
 
 def _delete(spark: SparkSession, folder: str) -> None:

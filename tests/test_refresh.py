@@ -1,7 +1,9 @@
 """The whole job on two small crawls."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from hearthlake.functions.keys import MERGE_KEY, with_merge_key
 from hearthlake.operators import criteria
 from hearthlake.plans import refresh
 from hearthlake.sources import snapshots
@@ -109,3 +111,26 @@ def test_merge_and_publish_keep_all_columns_and_widen_numbers(spark, tmp_path):
     published = refresh.publish(spark, root, serving)
     assert {(r.url, r.seq, r.propertydetails_images) for r in published.collect()} == {("a", 1, "x"), ("b", 2, None)}
     assert published.schema["seq"].dataType.simpleString() == "bigint"
+
+
+def test_merge_touches_only_the_buckets_of_new_keys(spark, tmp_path):
+    """A crawl that hits one bucket reads and writes that bucket; the files of the others stay where they are."""
+    root = str(tmp_path / "table")
+    first = spark.range(500).select(F.concat(F.lit("u"), "id").alias("url"), F.lit("1").alias("muc_gia"), F.col("id").alias("seq"))
+    refresh.merge_listings(first, root, ["seq"])
+    later = first.where("seq in (3)").withColumn("muc_gia", F.lit("2"))
+    key = with_merge_key(later).first()[MERGE_KEY]
+    refresh.merge_listings(later, root, ["seq"])
+    hit = snapshots.buckets_of(with_merge_key(later), MERGE_KEY, snapshots.BUCKETS)
+    assert [p.name for p in (tmp_path / "table" / "version=1").glob("_bucket=*")] == [f"_bucket={hit[0]}"]
+    live, buckets = snapshots.live_buckets(spark, root, 1)
+    assert {b for b, version in live.items() if version == 1} == set(hit) and len(live) == buckets == snapshots.BUCKETS
+    assert len(snapshots.read_buckets(spark, root, live, hit).inputFiles()) == 1
+    rows = {r.url: r.muc_gia for r in snapshots.read_current(spark, root).collect()}
+    assert len(rows) == 500 and rows["u3"] == "2" and sum(p == "2" for p in rows.values()) == 1
+    assert snapshots.read_version(spark, root, 0).where("muc_gia = '2'").count() == 0
+    # A column that comes is a table written anew, in which no old bucket lives on.
+    refresh.merge_listings(later.withColumn("more", F.lit(1)), root, ["seq"])
+    assert set(snapshots.live_buckets(spark, root, 2)[0].values()) == {2}
+    assert snapshots.read_current(spark, root).where("more IS NULL").count() == 499
+    assert snapshots.read_current(spark, root).where(F.col(MERGE_KEY) == key).count() == 1
