@@ -49,8 +49,8 @@ DIGEST_BYTES, RANK_BYTES, SUFFIX_BYTES = 12, 5, 9
 #: Bytes of a text's key: its digest and zeros, two numbers of 64 bits.
 KEY_BYTES = 16
 
-#: Rows that a task hands back at a time, and bytes of answers that it gathers by text before.
-ROWS_OUT, ANSWER_BYTES = 2_000, 16_000_000
+#: Rows that a task hands back at a time.
+ROWS_OUT = 2_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xBF58476D1CE4E5B9)
 RANKS, SUFFIXES, PASSING = 0, 1, 2
@@ -288,15 +288,13 @@ def _sorted_buckets(answer):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
         texts: dict[bytes, tuple[list[bytes], list[bytes]]] = {}
-        size = 0
 
-        def close() -> int:
-            """Answers of the bucket that is held, gathered by text; their bytes."""
-            total = 0
+        def close() -> Iterator[pa.RecordBatch]:
+            """Answers of the bucket that is held and what passed meanwhile, a row for each text."""
             for key, *found in _answers(answer, held) if held else ():
-                total += _gathered(texts, key, found)
+                _gathered(texts, key, found)
             held.clear()
-            return total
+            yield from _rows_of(texts)
 
         for batch in batches:
             passing: dict[bytes, tuple[list, list]] = {}
@@ -305,28 +303,23 @@ def _sorted_buckets(answer):
                     _gathered(passing, packed[0].as_py(), [p.as_py() for p in packed[3:]])
                     continue
                 if at != bucket:
-                    size += close()
+                    yield from close()
                     bucket = at
-                    if size > ANSWER_BYTES:
-                        yield from _rows_of(texts)
-                        size = 0
                 # The batch's own memory, not a copy.
                 held.append((at, kind, *(p.as_buffer() for p in packed)))
             for key, (links, intervals) in passing.items():
                 # What many blocks report of one text is combined here.
-                size += _gathered(texts, key, [_distinct_links(links) if links else None, _of_intervals(intervals).tobytes() if intervals else None])
-        close()
-        yield from _rows_of(texts)
+                _gathered(texts, key, [_distinct_links(links) if links else None, _of_intervals(intervals).tobytes() if intervals else None])
+        yield from close()
 
     return made
 
 
-def _gathered(texts: dict[bytes, tuple[list[bytes], list[bytes]]], key: bytes, found: list[bytes | None]) -> int:
-    """Put links and intervals to those of their text; their bytes."""
+def _gathered(texts: dict[bytes, tuple[list[bytes], list[bytes]]], key: bytes, found: list[bytes | None]) -> None:
+    """Put links and intervals to those of their text."""
     for rows, one in zip(texts.setdefault(key, ([], [])), found):
         if one is not None:
             rows.append(one)
-    return sum(len(one) for one in found if one is not None)
 
 
 def _rows_of(texts: dict[bytes, tuple[list[bytes], list[bytes]]]) -> Iterator[pa.RecordBatch]:
@@ -511,7 +504,8 @@ def _packed_texts(cover: Cover, most: int):
 
 
 def _bits(rows: int) -> int:
-    return min(30, max(3, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS))))
+    """Bits of a bucket's number: 32 buckets at least, and as many more as keep them to ``BUCKET_ROWS``."""
+    return min(30, max(5, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS))))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, period: int = PERIOD, residues: tuple[int, ...] = COVER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
