@@ -41,7 +41,7 @@ COVER = (0, 1, 3, 9, 27, 49, 56, 61, 77, 81)
 #: Text that a task works on at a time, in bytes, or one longer text.
 BLOCK_BYTES = 4_000_000
 #: Suffixes of a bucket, on average, and how many of them a task unpacks and sorts at a time, by their fingerprint.
-BUCKET_ROWS, SLICE_ROWS = 4_000_000, 1_500_000
+BUCKET_ROWS, SLICE_ROWS = 4_000_000, 800_000
 #: Bytes of a text's digest that tell texts apart; bytes of a fingerprint beside its bucket, of a cover suffix and of a
 #: whole suffix. A stretch gets wrong only if the one suffix that would lengthen it shares a bucket and 40 bits with another
 #: string: less than once in a million corpora of any size, since buckets grow in number with the corpus.
