@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from hearthlake.operators import criteria, extract
-from hearthlake.plans import catalog, inputs
+from hearthlake.plans import catalog, inputs, site_values
 
 VIEWS = {
     "listings": inputs.LISTINGS,
@@ -31,10 +30,6 @@ def percentage(count: str, total: str) -> str:
     return f"CAST((20000 * {count} + {total}) // (2 * {total}) AS DOUBLE) / 100"
 
 
-def values(mapping: dict[str, str]) -> str:
-    return ", ".join(f"('{k}', '{v}')" for k, v in mapping.items())
-
-
 VIEWS["numeric"] = f"SELECT *, {PRICE} AS price, {AREA} AS area FROM listings"
 VIEWS["priced"] = "SELECT * FROM numeric WHERE price IS NOT NULL AND area IS NOT NULL"
 VIEWS["first_crawl"] = f"SELECT * FROM listings WHERE ngay_ang < '{catalog.FIRST_CRAWL_UNTIL}'"
@@ -126,7 +121,7 @@ def _coordinate_pairs(pattern: str) -> str:
     lambda p: p IS NOT NULL)[1]"""
 
 
-POSITION = "coalesce(" + ",\n  ".join(_coordinate_pairs(p) for p in extract.COORDINATE_PATTERNS) + ")"
+POSITION = "coalesce(" + ",\n  ".join(_coordinate_pairs(p) for p in site_values.COORDINATES) + ")"
 VIEWS["details"] = f"""
 SELECT {DETAIL_URL} AS url, {LISTING_AREA} AS dien_tich, {LISTING_PRICE} AS muc_gia, {ADDRESS} AS ia_chi,
   '{catalog.COLLECTED_ON}' AS ngay_ang, {TITLE} AS tieu_e, {POSITION} AS place FROM detail_pages"""
@@ -167,9 +162,9 @@ def _number_profile(c: str) -> str:
 
 VIEWS["search_urls"] = f"""
 SELECT searches.*, '{SITE}/' || COALESCE(action, 'mua-ban') || '-nha-dat-' || COALESCE(code || '-', '') || COALESCE(category, 'ci38') || '.html' AS search_url
-FROM searches LEFT JOIN (VALUES {values(criteria.city_codes())}) AS cities(slug, code) ON slug = lower(replace(city, ' ', '-'))
-LEFT JOIN (VALUES {values(criteria.CATEGORIES)}) AS types(name, category) ON types.name = "propertyType"
-LEFT JOIN (VALUES {values(criteria.ACTIONS)}) AS actions(name, action) ON actions.name = "rentOrBuy" """
+FROM searches LEFT JOIN (VALUES {site_values.CITIES}) AS cities(slug, code) ON slug = lower(replace(city, ' ', '-'))
+LEFT JOIN (VALUES {site_values.CATEGORIES}) AS types(name, category) ON types.name = "propertyType"
+LEFT JOIN (VALUES {site_values.ACTIONS}) AS actions(name, action) ON actions.name = "rentOrBuy" """
 VIEWS["last_criteria"] = """
 SELECT DISTINCT ON (search_url) search_url, COALESCE(city, '') AS search_city, COALESCE("propertyType", '') AS search_property_type,
   COALESCE("rentOrBuy", '') AS search_rent_or_buy, COALESCE(radius, 0) AS search_radius

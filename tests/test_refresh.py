@@ -32,7 +32,7 @@ def test_search_url(spark, criterion, url):
 
 
 def test_city_codes():
-    codes = criteria.city_codes()
+    codes = criteria.CITY_CODES
     assert len(codes) == 129 and len(set(codes.values())) == 63
     assert codes["thừa-thiên-huế"] == codes["thua-thien-hue"] == "thua-thien-hue-xc46"
 
