@@ -188,16 +188,49 @@ def publish_full_refresh(spark, sf_dir):
     return snapshots.read_current(spark, folder)
 
 
-@query
-def merge_and_publish(spark, sf_dir):
-    """Two crawls merged one after the other into the stored table, then published."""
+def _merged(spark, sf_dir):
+    """A folder with two crawls merged one after the other into the stored table."""
     folder = shared_folder(spark)
     refresh.merge_listings(first_crawl(spark, sf_dir), f"{folder}/bronze", ORDER)
     refresh.merge_listings(second_crawl(spark, sf_dir), f"{folder}/bronze", ORDER)
+    return folder
+
+
+def _published(spark, sf_dir):
+    folder = _merged(spark, sf_dir)
+    refresh.publish(spark, f"{folder}/bronze", f"{folder}/serving")
+    return folder
+
+
+@query
+def merge_and_publish(spark, sf_dir):
+    """Two crawls merged one after the other into the stored table, then published."""
+    folder = _merged(spark, sf_dir)
     published = refresh.publish(spark, f"{folder}/bronze", f"{folder}/serving", CITIES)
     return published.select(keys.MERGE_KEY.lower(), "url", "muc_gia", "search_city", "seq")
 
 
+@query
+def served_city(spark, sf_dir):
+    """One city of the published table, from its folders only."""
+    folder = _published(spark, sf_dir)
+    served = serving.read_served(spark, f"{folder}/serving", "asia")
+    return served.select(keys.MERGE_KEY.lower(), "url", "muc_gia", "search_city", "seq")
+
+
+@query
+def served_trends(spark, sf_dir):
+    """The latest dates of the published table, from the months that hold them only."""
+    return reports.latest_trends(spark, f"{_published(spark, sf_dir)}/serving")
+
+
+@query
+def stored_lookup(spark, sf_dir):
+    """One listing of the merged table, from its key's bucket only."""
+    rows = snapshots.read_key(spark, f"{_merged(spark, sf_dir)}/bronze", keys.MERGE_KEY, ONE_PROPERTY)
+    return rows.select(keys.MERGE_KEY, "url", "muc_gia", "seq")
+
+
 @query
 def merge_keeps_columns(spark, sf_dir):
     """A stored table with a bulky column, merged with a crawl without it and published."""

@@ -67,6 +67,8 @@ VIEWS["trends"] = f"""
 SELECT CAST(ngay_ang AS DATE) AS date, COUNT(*) AS daily_count, {money('AVG(price)')} AS avg_price, {area_text('AVG(area)')} AS avg_area
 FROM priced WHERE ngay_ang IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 30"""
 
+VIEWS["merged_priced"] = f"""SELECT * FROM (SELECT *, {PRICE} AS price, {AREA} AS area FROM merged) WHERE price IS NOT NULL AND area IS NOT NULL"""
+
 NUMBER = "CAST(replace({0}, ',', '') AS DOUBLE)"
 
 
@@ -202,6 +204,11 @@ FROM numeric WHERE price > 0""",
     "publish_full_refresh": f"SELECT {SERVING_COLUMNS} FROM latest WHERE search_city IN {CITIES}",
     "merge_keeps_columns": """SELECT "propertyDetails_propertyId" AS propertydetails_propertyid, seq,
   CASE WHEN url NOT IN (SELECT url FROM stored_second) THEN 'image of ' || CAST(seq AS VARCHAR) END AS images FROM merged""",
+    "served_city": """SELECT "propertyDetails_propertyId" AS propertydetails_propertyid, url, muc_gia, search_city, seq
+FROM merged WHERE search_city = 'asia'""",
+    "served_trends": f"""SELECT CAST(ngay_ang AS DATE) AS date, COUNT(*) AS daily_count, {money('AVG(price)')} AS avg_price, {area_text('AVG(area)')} AS avg_area
+FROM merged_priced WHERE ngay_ang IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 30""",
+    "stored_lookup": f"""SELECT "propertyDetails_propertyId", url, muc_gia, seq FROM merged WHERE "propertyDetails_propertyId" = '{catalog.ONE_PROPERTY}'""",
     "merge_and_publish": f"""SELECT "propertyDetails_propertyId" AS propertydetails_propertyid, url, muc_gia, search_city, seq
 FROM merged WHERE search_city IN {CITIES}""",
     "flatten_json": f"""SELECT CAST(seq AS VARCHAR) AS id, TRY_CAST(muc_gia AS BIGINT) AS "propertyDetails_normalizedPrice",

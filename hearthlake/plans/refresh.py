@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from hearthlake.functions.keys import MERGE_KEY, with_merge_key
 from hearthlake.functions.text import normalize_url
-from hearthlake.operators.checks import schema_diff, verify_counts, widened
+from hearthlake.operators.checks import schema_diff, widened
 from hearthlake.operators.columns import LISTING_SCHEMA, attach_lineage
 from hearthlake.operators.criteria import with_search_url
 from hearthlake.operators.dedup import dedup_keep_last
 from hearthlake.operators.extract import DEFAULT_LINKS_PER_PAGE, extract_listings
 from hearthlake.operators.upsert import upsert_by_key
 from hearthlake.session import shared_folder
-from hearthlake.sources.serving import serving_rows
+from hearthlake.sources.serving import read_served, serving_rows, write_served
 from hearthlake.sources.snapshots import BUCKETS, buckets_of, latest_version, live_buckets, read_buckets, read_current, write_buckets, write_snapshot
 
 
@@ -113,16 +113,17 @@ def publish(
 ) -> DataFrame:
     """Replace the serving table by the current rows of the stored table; returns it as read back.
 
-    The merge leaves one row per key, so this is a scan, a filter and a write. All stored
-    columns are published. The rows read back are counted against those that should be
-    there, and a difference ends the job.
+    The merge leaves one row per key, so this reads the stored table once, deals its rows to
+    folders of city and month and writes them. All stored columns are published. The rows
+    in the written files are counted by their footers against those that the write was
+    given, and a difference ends the job.
     """
     rows = serving_rows(read_current(spark, root, without=()), cities=cities)
-    write_snapshot(rows, serving_root, "PUBLISH")
-    published = read_current(spark, serving_root, without=())
-    counts = verify_counts(rows, published).first()
-    if not counts.matches:
-        raise RuntimeError(f"published {counts.actual_count} of {counts.expected_count} rows")
+    handed = write_served(rows, serving_root)
+    published = read_served(spark, serving_root)
+    found = published.count()
+    if found != handed:
+        raise RuntimeError(f"published {found} of {handed} rows")
     return published
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from hearthlake.operators import analytics
+from hearthlake.sources import serving
 
 
 class Report(NamedTuple):
@@ -36,3 +37,9 @@ def run_reports(
     """
     results = {name: REPORTS[name].build(listings) for name in names}
     return {n: df if limit is None else df.limit(limit) for n, df in results.items()}
+
+
+def latest_trends(spark: SparkSession, serving_root: str, days: int = analytics.TREND_DAYS) -> DataFrame:
+    """``recent_trends`` of the stored serving table, from the months that hold the latest dates only."""
+    since = serving.month_of_latest_dates(spark, serving_root, days)
+    return analytics.recent_trends(serving.read_served(spark, serving_root, since=since), days)

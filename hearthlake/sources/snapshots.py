@@ -48,17 +48,17 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
 
 def write_snapshot(df: DataFrame, root: str, operation: str = "WRITE") -> int:
     """Write the next version and return its number."""
-    version = _next_version(df.sparkSession, root)
+    version = next_version(df.sparkSession, root)
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    return _complete(df.sparkSession, root, version, operation)
+    return complete(df.sparkSession, root, version, operation)
 
 
-def _next_version(spark: SparkSession, root: str) -> int:
+def next_version(spark: SparkSession, root: str) -> int:
     latest = latest_version(spark, root)
     return 0 if latest is None else latest + 1
 
 
-def _complete(spark: SparkSession, root: str, version: int, operation: str) -> int:
+def complete(spark: SparkSession, root: str, version: int, operation: str) -> int:
     entry = spark.range(1).select(
         F.lit(version).alias("version"),
         F.current_timestamp().alias("timestamp"),
@@ -85,14 +85,16 @@ def write_buckets(df: DataFrame, root: str, key: str, operation: str, anew: bool
     never got its history line aren't read, and the next attempt overwrites them.
     """
     spark = df.sparkSession
-    version = _next_version(spark, root)
+    version = next_version(spark, root)
     folder = f"{root}/version={version}"
-    # Small buckets share a task, large ones are split over several.
-    df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+    # Small buckets share a task, large ones are split over several. Sorted keys and bloom filters let a lookup skip row groups.
+    dealt = df.withColumn(BUCKET, bucket_of(key, buckets)).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, key)
+    writer = dealt.write.mode("overwrite").partitionBy(BUCKET)
+    writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true").parquet(folder)
     written = spark.read.parquet(folder).select(F.col(BUCKET).cast("int").alias("bucket")).distinct()
     lines = written.select(F.lit(version).alias("version"), "bucket", F.lit(buckets).alias("buckets"), F.lit(anew).alias("anew"))
     lines.write.mode("overwrite").json(f"{root}/buckets/{version}")
-    return _complete(spark, root, version, operation)
+    return complete(spark, root, version, operation)
 
 
 def live_buckets(spark: SparkSession, root: str, version: int) -> tuple[dict[int, int], int]:
@@ -116,6 +118,22 @@ def read_buckets(spark: SparkSession, root: str, live: dict[int, int], buckets:
     return spark.read.schema(schema).parquet(*wanted) if wanted else spark.createDataFrame([], schema)
 
 
+def read_key(spark: SparkSession, root: str, key: str, value) -> DataFrame | None:
+    """The current rows of one key, from the files of its bucket only; None when there is no table yet.
+
+    ``key`` is the column the table lies in buckets of, and ``value`` of its type. A version without buckets is read with
+    the filter pushed down.
+    """
+    version = latest_version(spark, root)
+    if version is None:
+        return None
+    live, buckets = live_buckets(spark, root, version)
+    if not live:
+        return read_version(spark, root, version).where(F.col(f"`{key}`") == value)
+    bucket = spark.range(1).select(F.lit(value).alias(key)).select(bucket_of(key, buckets)).first()[0]
+    return read_buckets(spark, root, live, [bucket]).where(F.col(f"`{key}`") == value)
+
+
 def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     live, _ = live_buckets(spark, root, version)
     return read_buckets(spark, root, live) if live else spark.read.parquet(f"{root}/version={version}")
