@@ -10,6 +10,7 @@ in the suffix array and removed, and the unique runs stay.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -52,18 +53,30 @@ ASIDE_WORDS = frozenset(
     " footer header menu menubar modal nav navbar navigation newsletter notice notices pagination popup promo related replies reply"
     " share sharing sidebar sidebars social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Of these elements an article that stands inside may be the page's; of the other asides none is.
+LIFTED = frozenset("form header menu nav".split())
+#: Names of what readers wrote or what is offered beside, unless the name only says that an element has it.
+BESIDE = frozenset("comment comments disqus related replies reply".split())
+HAVING = frozenset("has no with without".split())
 _WORDS = re.compile(r"[A-Za-z]+")
 #: Class names such as sideBar and adUnit hold their words by capitals.
 _CAPITAL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class _Blocks(HTMLParser):
-    """Collects a page's blocks: (text, inside the article)."""
+    """Collects a page's blocks: (text, inside the article).
 
-    def __init__(self):
+    With ``lift`` an article or main element counts though elements around it are set
+    aside, by their names, roles or as one of ``LIFTED``.
+    """
+
+    def __init__(self, lift: bool = False):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool]] = []  # name, aside, article
+        self.lift = lift
+        self.open: list[tuple[str, int, bool, bool]] = []  # name, what it adds to asides, article, firm aside
+        self.names: Counter[str] = Counter()
         self.asides = self.articles = 0
+        self.firm = 0  # asides that nothing inside lifts
         self.pieces: list[str] = []
         self.blocks: list[tuple[str, bool]] = []
 
@@ -75,16 +88,18 @@ class _Blocks(HTMLParser):
                 self.blocks.append((text, self.articles > 0))
 
     def pop(self) -> None:
-        name, aside, article = self.open.pop()
+        name, aside, article, firm = self.open.pop()
+        self.names[name] -= 1
         if name in BLOCK or aside:
             self.end_block()
         self.asides -= aside
         self.articles -= article
+        self.firm -= firm
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         for name in ENDS.get(tag, ()):
-            # Only up to the nearest element that holds others of its kind.
-            for depth in range(len(self.open) - 1, max(-1, len(self.open) - 40), -1):
+            # Only up to the nearest element that holds others of its kind, and only if one is open.
+            for depth in range(len(self.open) - 1, -1, -1) if self.names[name] else ():
                 inner = self.open[depth][0]
                 if inner == name:
                     while len(self.open) > depth:
@@ -100,25 +115,36 @@ class _Blocks(HTMLParser):
             return
         given_ = {k: v or "" for k, v in attrs}
         role = given_.get("role", "").lower()
-        aside = tag in ASIDE or role in ASIDE_ROLES or "hidden" in given_ or given_.get("aria-hidden") == "true"
+        unseen = "hidden" in given_ or given_.get("aria-hidden") == "true"
+        firm = unseen or tag in ASIDE - LIFTED
+        aside = tag in ASIDE or role in ASIDE_ROLES or unseen
         if not aside and tag not in ("html", "body", "article", "main"):
             named = _CAPITAL.sub(" ", given_.get("class", "") + " " + given_.get("id", ""))
             aside = any(w.lower() in ASIDE_WORDS for w in _WORDS.findall(named))
+            names = [[w.lower() for w in _WORDS.findall(name)] for name in named.split()] if aside else []
+            firm = any(words[0] not in HAVING and not BESIDE.isdisjoint(words) for words in names if words)
         elif tag == "article" and not aside:
             # Comments are often articles themselves.
             aside = any(w.lower() in ("comment", "comments", "reply", "replies") for w in _WORDS.findall(given_.get("class", "")))
+            firm = aside
         if aside:
             self.end_block()
         article = tag in ("article", "main") or role in ("main", "article")
-        self.open.append((tag, aside, article))
-        self.asides += aside
+        adds = int(aside)
+        if self.lift and article and not aside and not self.firm and self.asides:
+            self.end_block()
+            adds = -self.asides
+        self.open.append((tag, adds, article, firm))
+        self.names[tag] += 1
+        self.asides += adds
         self.articles += article
+        self.firm += firm
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # browsers ignore the slash
 
     def handle_endtag(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, -1, -1):
+        for depth in range(len(self.open) - 1, -1, -1) if self.names[tag] else ():
             if self.open[depth][0] == tag:
                 while len(self.open) > depth:
                     self.pop()
@@ -131,10 +157,9 @@ class _Blocks(HTMLParser):
             self.pieces.append(data)
 
 
-def blocks_of(html: str | None) -> list[tuple[str, bool]]:
-    """The blocks of a page in order, without what its markup sets aside: (text, inside the article)."""
-    parser = _Blocks()
-    parser.feed(html or "")
+def _blocks_of(html: str, lift: bool) -> list[tuple[str, bool]]:
+    parser = _Blocks(lift)
+    parser.feed(html)
     parser.close()
     while parser.open:
         parser.pop()
@@ -142,6 +167,21 @@ def blocks_of(html: str | None) -> list[tuple[str, bool]]:
     return parser.blocks
 
 
+def blocks_of(html: str | None) -> list[tuple[str, bool]]:
+    """The blocks of a page in order, without what its markup sets aside: (text, inside the article).
+
+    Where no article is left, since an element around it is named like a sidebar, is a
+    form or a menu that was never closed, the articles inside such elements count, if
+    they have more text than what is left without them.
+    """
+    found = _blocks_of(html or "", False)
+    if any(inside for _, inside in found):
+        return found
+    lifted = _blocks_of(html or "", True)
+    size = lambda blocks: sum(len(text) for text, _ in blocks)
+    return lifted if size(b for b in lifted if b[1]) > size(found) else found
+
+
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each run of RUN_TOKENS tokens the hash and the place of its anchor: of its runs of ANCHOR_TOKENS tokens the one with the smallest hash.
 

@@ -266,6 +266,37 @@ def test_token_files(spark, table, tmp_path):
     assert {tuple(r) for r in token_store.read(spark, f"{tmp_path}/tokens").collect()} == wanted
 
 
+ARTICLE = "<article><p>The text of the page, which is long enough.</p></article>"
+
+
+@pytest.mark.parametrize(
+    ("html", "lines"),
+    [
+        (f'<div class="content with-sidebar">{ARTICLE}<div class="sidebar">side</div></div>', 1),
+        (f'<div class="has-header page">{ARTICLE}</div><footer>foot</footer>', 1),
+        (f'<form action="x">{ARTICLE}<input name="state"></form>', 1),
+        (f'<nav><a href="/">home</a>{ARTICLE}', 1),
+        (f'<aside>{ARTICLE}</aside>', 0),
+        (f'<div hidden>{ARTICLE}</div>', 0),
+        (f'<div class="comments"><article class="comment">{ARTICLE}</article></div>', 0),
+        (f'<div class="userComments">{ARTICLE}</div>', 0),
+        (f'<div class="has-comments">{ARTICLE}</div>', 1),
+        (f'<nav><article>Teaser</article></nav>{ARTICLE}', 1),
+        (f'<div class="related"><article>Teaser</article></div><div><p>The text of the page, which is long enough.</p></div>', 1),
+    ],
+)
+def test_markup_around_an_article_does_not_set_it_aside(html, lines):
+    assert [text for text, _ in main_text.blocks_of(html)] == ["The text of the page, which is long enough."] * lines
+
+
+def test_unbalanced_tags_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert main_text.blocks_of("<p>a" + "<b>" * 20_000 + "</i>" * 20_000) == [("a", False)]
+    assert time.perf_counter() - start < 5
+
+
 def test_main_text(spark):
     menu = "<nav><a>Home</a></nav><div class='side-bar sidebar'>Side</div>"
     article = "<article><h1>T &amp; U</h1><p>one<br>two  <b>three</b><p>four<div class='adBox'>buy</div><script>var t='</p>'</script><section id=comments><p>nice</p></section></article>"
