@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -398,3 +399,31 @@ def test_pipeline(spark):
     frame = corpus_pipeline.run(spark, SF_DIR)
     assert frame.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and frame.count() > 0
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "simhash_near_dedup", "mix_to_weights", "byte_bpe"]
+
+
+@pytest.mark.parametrize("part", [49, 45])
+def test_passages_whose_first_holder_has_a_part(spark, part):
+    """Triples: the first document has a part of a passage, the other two have it whole; all pairs by brute force."""
+    rng = random.Random(part)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    noise = lambda n: [word() for _ in range(n)]
+    size, texts = (50 if part == 49 else 52), []
+    for _ in range(60):
+        passage, skip = noise(size), rng.randint(0, size - part)
+        held = [passage[skip : skip + part], passage, passage]
+        texts += [" ".join(noise(rng.randint(10, 80)) + own + noise(rng.randint(10, 80))) for own in held]
+    links = passages.passage_links(docs(spark, texts))
+    roots = {r.doc_id: r.class_id for r in passages.repeated_documents(links).collect()}
+    joined = sum(3 * i + 1 in roots and roots.get(3 * i + 1) == roots.get(3 * i + 2) for i in range(60))
+    assert joined >= 59
+    assert all(roots[i] // 3 == i // 3 for i in roots)
+
+
+def test_windows_of_several_documents():
+    """Only keys of two documents or more are left, wherever batches end, and a partition's links span its batches."""
+    rng = random.Random(3)
+    rows = sorted((rng.randrange(40), rng.randrange(6)) for _ in range(150))
+    for size in (1, 2, 7, 150):
+        batches = [pa.RecordBatch.from_pydict({"key": [k for k, _ in rows[i : i + size]], "doc_id": [d for _, d in rows[i : i + size]]}) for i in range(0, 150, size)]
+        found = [(r["key"], r["doc_id"]) for b in passages.of_several(iter(batches)) for r in b.to_pylist()]
+        assert sorted(found) == [r for r in rows if len({d for k, d in rows if k == r[0]}) > 1]
