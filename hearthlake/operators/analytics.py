@@ -176,6 +176,110 @@ def top_expensive_areas(
     )
 
 
+#: The grouping sets of ``market_summary``, as ``grouping_id`` numbers them.
+BY_LOCATION, BY_DATE, BY_BAND, OVERALL = 3, 5, 6, 7
+
+
+def market_summary(listings: DataFrame) -> DataFrame:
+    """All that the reports over the serving table need, from one pass: a row per location, date and price band, and one of all.
+
+    ``_set`` tells which of these a row is. n, avg_price, min_price, max_price and
+    avg_area are of the listings with price and area; the columns that begin with pos_
+    of those where both are positive; the columns that begin with priced_ of those with
+    a positive price. Numbers stay numbers, so that the reports can rank by them. The
+    listings are expanded to four narrow rows each and combined in every task before
+    the shuffle, so a location that holds a third of them is one row for each task.
+    """
+    full, positive = F.col("price").isNotNull() & F.col("area").isNotNull(), F.expr("price > 0 AND area > 0")
+    rows = with_numbers(listings).filter(full | (F.col("price") > 0))
+    rows = rows.select(
+        F.col("ia_chi").alias("location"),
+        F.col("ngay_ang").try_cast("date").alias("date"),
+        F.when(F.col("price") > 0, price_band(F.col("price"))).alias("band"),
+        *[F.when(full, F.col(c)).alias(c) for c in ("price", "area")],
+        *[F.when(positive, F.col(c)).alias(f"pos_{c}") for c in ("price", "area")],
+        F.when(F.col("price") > 0, F.col("price")).alias("priced_price"),
+        F.when(F.col("price") > 0, F.col("area")).alias("priced_area"),
+    )
+    sets = [[F.col("location")], [F.col("date")], [F.col("band")], []]
+    return rows.groupingSets(sets, "location", "date", "band").agg(
+        F.grouping_id().alias("_set"),
+        F.count("price").alias("n"),
+        F.avg("price").alias("avg_price"),
+        F.min("price").alias("min_price"),
+        F.max("price").alias("max_price"),
+        F.avg("area").alias("avg_area"),
+        F.count("pos_price").alias("pos_n"),
+        F.avg("pos_price").alias("pos_avg"),
+        F.min("pos_price").alias("pos_min"),
+        F.max("pos_price").alias("pos_max"),
+        F.avg(F.col("pos_price") / F.col("pos_area")).alias("pos_per_sqm"),
+        F.count("priced_price").alias("priced_n"),
+        F.avg("priced_area").alias("priced_area"),
+        F.min("priced_price").alias("priced_min"),
+    )
+
+
+def _of_set(summary: DataFrame, kind: int, key: str, count: str) -> DataFrame:
+    return summary.filter((F.col("_set") == kind) & F.col(key).isNotNull() & (F.col(count) > 0))
+
+
+def summary_basic_stats(summary: DataFrame) -> DataFrame:
+    """``basic_stats`` of a summary."""
+    whole = F.col("_set") == OVERALL
+    place = (F.col("_set") == BY_LOCATION) & F.col("location").isNotNull() & (F.col("n") > 0)
+    return summary.agg(
+        F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("total_properties"),
+        *[_money(F.max(F.when(whole, F.col(c))), c) for c in ("avg_price", "min_price", "max_price")],
+        format_area(F.max(F.when(whole, F.col("avg_area")))).alias("avg_area"),
+        F.count(F.when(place, 1)).alias("cities_count"),
+    )
+
+
+def summary_price_by_city(summary: DataFrame) -> DataFrame:
+    """``price_by_city`` of a summary."""
+    return _of_set(summary, BY_LOCATION, "location", "pos_n").orderBy(F.desc("pos_avg"), "location").select(
+        F.col("location").alias("city"),
+        F.col("pos_n").alias("property_count"),
+        _money(F.col("pos_avg"), "avg_price"),
+        _money(F.col("pos_min"), "min_price"),
+        _money(F.col("pos_max"), "max_price"),
+        _money(F.col("pos_per_sqm"), "avg_price_per_sqm"),
+    )
+
+
+def summary_location_distribution(summary: DataFrame, top: int = LOCATION_TOP) -> DataFrame:
+    """``location_distribution`` of a summary; the total is found as there."""
+    grouped = _of_set(summary, BY_LOCATION, "location", "n").rollup("location").agg(
+        F.grouping("location").alias("_is_total"), F.sum("n").alias("count"), F.max("avg_price").alias("_price"), F.max("avg_area").alias("_area")
+    )
+    kept = grouped.orderBy(F.desc("_is_total"), F.desc("count"), "location").limit(top + 1)
+    total = F.max(F.when(F.col("_is_total") == 1, F.col("count"))).over(Window.partitionBy())
+    return (
+        kept.withColumn("percentage", _percentage(F.col("count"), total))
+        .filter("_is_total = 0")
+        .select("location", "count", "percentage", _money(F.col("_price"), "avg_price"), format_area(F.col("_area")).alias("avg_area"))
+        .orderBy(F.desc("count"), "location")
+    )
+
+
+def summary_recent_trends(summary: DataFrame, days: int = TREND_DAYS) -> DataFrame:
+    """``recent_trends`` of a summary."""
+    latest = _of_set(summary, BY_DATE, "date", "n").orderBy(F.desc("date")).limit(days)
+    return latest.select("date", F.col("n").alias("daily_count"), _money(F.col("avg_price"), "avg_price"), format_area(F.col("avg_area")).alias("avg_area"))
+
+
+def summary_price_ranges(summary: DataFrame) -> DataFrame:
+    """``price_ranges`` of a summary; five bands at most."""
+    total = F.sum("priced_n").over(Window.partitionBy())
+    return (
+        _of_set(summary, BY_BAND, "band", "priced_n")
+        .withColumn("percentage", _percentage(F.col("priced_n"), total))
+        .orderBy("priced_min")
+        .select(F.col("band").alias("price_range"), F.col("priced_n").alias("count"), "percentage", format_area(F.col("priced_area")).alias("avg_area"))
+    )
+
+
 def city_value_counts(listings: DataFrame, column: str = "search_city") -> DataFrame:
     """Rows per value, most frequent first; NULL is not counted."""
     return (

@@ -477,6 +477,33 @@ def report_rows(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, counts)
 
 
+@query
+def report_values(spark, sf_dir):
+    """The values of every report over the serving table, from one scan of the listings."""
+    found = reports.run_reports_in_one_pass(inputs.listings(spark, sf_dir))
+    prices = F.concat_ws("/", "avg_price", "min_price", "max_price")
+    share = {"location_distribution": F.col("percentage"), "price_ranges": F.col("percentage")}
+    shown = {
+        "basic_stats": (F.col("cities_count"), "total_properties", prices, "avg_area"),
+        "price_by_city": (F.col("city"), "property_count", prices, "avg_price_per_sqm"),
+        "location_distribution": (F.col("location"), "count", F.col("avg_price"), "avg_area"),
+        "recent_trends": (F.col("date"), "daily_count", F.col("avg_price"), "avg_area"),
+        "price_ranges": (F.col("price_range"), "count", F.lit(""), "avg_area"),
+    }
+    parts = [
+        found[report].select(
+            F.lit(report).alias("report"),
+            name.cast("string").alias("name"),
+            F.col(count).alias("n"),
+            price.alias("prices"),
+            F.col(area).alias("area"),
+            share.get(report, F.lit(None)).cast("double").alias("percentage"),
+        )
+        for report, (name, count, price, area) in shown.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def city_value_counts(spark, sf_dir):
     return analytics.city_value_counts(inputs.listings(spark, sf_dir))

@@ -199,6 +199,16 @@ FROM found_links JOIN last_criteria USING (search_url) JOIN details ON link = ur
 UNION ALL SELECT 'location_distribution', COUNT(*) FROM by_location UNION ALL SELECT 'recent_trends', COUNT(*) FROM trends
 UNION ALL SELECT 'price_ranges', COUNT(DISTINCT CASE WHEN price < 1e9 THEN 1 WHEN price < 3e9 THEN 2 WHEN price < 5e9 THEN 3 WHEN price < 1e10 THEN 4 ELSE 5 END)
 FROM numeric WHERE price > 0""",
+    "report_values": f"""SELECT 'basic_stats' AS report, CAST(cities_count AS VARCHAR) AS name, total_properties AS n,
+  concat_ws('/', avg_price, min_price, max_price) AS prices, avg_area AS area, CAST(NULL AS DOUBLE) AS percentage FROM stats
+UNION ALL SELECT 'price_by_city', city, property_count, concat_ws('/', avg_price, min_price, max_price), avg_price_per_sqm, NULL FROM by_city
+UNION ALL SELECT 'location_distribution', location, "count", avg_price, avg_area, percentage FROM by_location
+UNION ALL SELECT 'recent_trends', CAST(date AS VARCHAR), daily_count, avg_price, avg_area, NULL FROM trends
+UNION ALL SELECT 'price_ranges', price_range, n, '', avg_area, {percentage('n', 'total')} FROM (
+  SELECT CASE WHEN price < 1000000000 THEN '< 1 tỷ' WHEN price < 3000000000 THEN '1-3 tỷ' WHEN price < 5000000000 THEN '3-5 tỷ'
+    WHEN price < 10000000000 THEN '5-10 tỷ' ELSE '> 10 tỷ' END AS price_range, COUNT(*) AS n,
+    CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS total, {area_text('AVG(area)')} AS avg_area
+  FROM numeric WHERE price > 0 GROUP BY 1)""",
     "read_current_table": f"""SELECT CAST(seq AS VARCHAR) AS id, TRY_CAST(muc_gia AS BIGINT) AS "propertyDetails_normalizedPrice",
   {KEY} AS "propertyDetails_propertyId", dien_tich AS "propertyDetails_rooms", tieu_e AS oddnamex FROM listings""",
     "publish_full_refresh": f"SELECT {SERVING_COLUMNS} FROM latest WHERE search_city IN {CITIES}",

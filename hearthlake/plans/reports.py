@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthlake.operators import analytics
+from hearthlake.session import staged
 from hearthlake.sources import serving
 
 
@@ -39,6 +40,25 @@ def run_reports(
     return {n: df if limit is None else df.limit(limit) for n, df in results.items()}
 
 
+SUMMARY_REPORTS = {
+    "basic_stats": analytics.summary_basic_stats,
+    "price_by_city": analytics.summary_price_by_city,
+    "location_distribution": analytics.summary_location_distribution,
+    "recent_trends": analytics.summary_recent_trends,
+    "price_ranges": analytics.summary_price_ranges,
+}
+
+
+def run_reports_in_one_pass(listings: DataFrame) -> dict[str, DataFrame]:
+    """The serving reports, as ``run_reports`` gives them, from one scan of the listings.
+
+    The summary they share, a row per location, date and band, is written to the shared
+    folder; the reports read only that. Its folder is left for the caller to remove.
+    """
+    summary = staged(analytics.market_summary(listings))
+    return {name: build(summary) for name, build in SUMMARY_REPORTS.items()}
+
+
 def latest_trends(spark: SparkSession, serving_root: str, days: int = analytics.TREND_DAYS) -> DataFrame:
     """``recent_trends`` of the stored serving table, from the months that hold the latest dates only."""
     since = serving.month_of_latest_dates(spark, serving_root, days)

@@ -177,3 +177,27 @@ def test_bad_rows_never_fail_a_report(spark):
     for df in reports.run_reports(listings(spark, bad)).values():
         df.collect()
     assert analytics.with_numbers(listings(spark, bad)).filter(F.col("price").isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("which", ["market", "bad", "empty", "places"])
+def test_reports_in_one_pass_agree(spark, which):
+    bad = [(p, a, x, d) for p in ("", "1.2.3", "0", "-5", None, "7") for a in ("", "0", "40", None) for x in ("x", None) for d in ("x", None, "2024-01-02")]
+    made = {
+        "market": MARKET,
+        "bad": bad,
+        "empty": [],
+        "places": [(str(10**8 * (i % 90)), str(i % 50), f"p{i % 25}", f"2024-0{1 + i % 9}-{10 + i % 17}") for i in range(600)],
+    }[which]
+    frame = spark.createDataFrame(made, "muc_gia string, dien_tich string, ia_chi string, ngay_ang string") if which == "empty" else listings(spark, made)
+    once, each = reports.run_reports_in_one_pass(frame), reports.run_reports(frame)
+    assert list(once) == list(each)
+    for name in each:
+        assert once[name].columns == each[name].columns
+        assert once[name].collect() == each[name].collect(), name
+
+
+def test_the_summary_scans_the_listings_once(spark, tmp_path):
+    folder = str(tmp_path / "listings")
+    listings(spark, MARKET).write.parquet(folder)
+    plan = analytics.market_summary(spark.read.parquet(folder))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange") == 1
