@@ -201,3 +201,30 @@ def test_the_summary_scans_the_listings_once(spark, tmp_path):
     listings(spark, MARKET).write.parquet(folder)
     plan = analytics.market_summary(spark.read.parquet(folder))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("accuracy,most", [(20, 40), (100, 10), (1000, 10**6)])
+def test_brackets_are_narrowed_until_they_fit(spark, accuracy, most):
+    draw = np.random.default_rng(accuracy)
+    made = {
+        "wide": draw.normal(size=20_000),
+        "tied": draw.integers(0, 7, 20_000).astype(float),
+        "hot": np.where(draw.random(20_000) < 0.4, 3.0, draw.random(20_000) * 9),
+        "gone": np.where(draw.random(20_000) < 0.5, np.nan, draw.random(20_000)),
+    }
+    frame = spark.createDataFrame(pd.DataFrame(made))
+    found = {r.column: r for r in profile._number_profile(frame, list(made), accuracy, most).collect()}
+    for name, values in made.items():
+        values = values[~np.isnan(values)]
+        assert found[name]["count"] == len(values) and found[name].min == values.min() and found[name].max == values.max()
+        assert np.allclose([found[name][f"p{p}"] for p in (25, 50, 75)], np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12, atol=0)
+
+
+def test_profile_scans_three_times(spark, tmp_path):
+    folder = str(tmp_path / "profiled")
+    spark.createDataFrame([(1, 2.5, "a"), (2, None, "b"), (4, float("nan"), "a")], "n int, x double, t string").write.parquet(folder)
+    frame = profile.describe(spark.read.parquet(folder))
+    # One scan ran while the frame was built, two are in its plan.
+    assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
+    empty = spark.createDataFrame([], "n int, x double")
+    assert [(r["count"], r.mean, r.p50) for r in profile.describe(empty).collect()] == [(0, None, None)] * 2
