@@ -14,6 +14,8 @@ MOST_BAD = 0.5
 CONFIDENCE = 1.645
 #: Words that stand before a country's code in a public suffix, as in co.uk.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
+#: The suffix that addresses, which have none, are grouped under; no label begins so.
+ADDRESS = "#address"
 #: Strength of a prior, in pages, and its bounds. The first holds where one group can't show how groups differ.
 USUAL_STRENGTH, LEAST_STRENGTH, MOST_STRENGTH = 10.0, 0.5, 10_000.0
 
@@ -26,14 +28,36 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    """The public suffix: the last label, or the last two as in co.uk."""
-    two = F.regexp_extract(host, rf"(?:^|\.)((?:{'|'.join(SECOND_LEVEL)})\.[a-z]{{2}})$", 1)
-    return F.when(two != "", two).otherwise(F.substring_index(host, ".", -1))
+def name_of(host: Column) -> Column:
+    """The host without user, port and closing dot: what its suffix and domain are read from."""
+    return F.regexp_replace(host, r"^.*@|\.?(?::[0-9]*)?$", "")
 
 
-def domain_of(host: Column, suffix: Column) -> Column:
-    """The registered domain: the suffix and the label before it."""
+def is_address(name: Column) -> Column:
+    return name.rlike(r"^(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|\[.*\])$")
+
+
+def suffix_of(name: Column) -> Column:
+    """The public suffix: the last label, or the last two as in co.uk. All addresses share one."""
+    two = F.regexp_extract(name, rf"(?:^|\.)((?:{'|'.join(SECOND_LEVEL)})\.[a-z]{{2}})$", 1)
+    return F.when(is_address(name), F.lit(ADDRESS)).when(two != "", two).otherwise(F.substring_index(name, ".", -1))
+
+
+def listed_suffixes(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """_name and _listed, the longest suffix of the table (suffix) that each name of ``hosts`` (_name) ends in, where one does."""
+    labels = F.split("_name", r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    names = hosts.select("_name").distinct().where(~is_address(F.col("_name")))
+    known = suffixes.select(F.col("suffix").alias("_tail")).distinct()
+    return names.select("_name", F.explode(tails).alias("_tail")).join(known, "_tail").groupBy("_name").agg(F.max_by("_tail", F.length("_tail")).alias("_listed"))
+
+
+def domain_of(name: Column, suffix: Column) -> Column:
+    """The registered domain: the suffix and the label before it; an address is its own."""
+    return F.when(is_address(name), name).otherwise(_labels_from(name, suffix))
+
+
+def _labels_from(host: Column, suffix: Column) -> Column:
     labels = F.size(F.split(suffix, r"\.")) + 1
     return F.array_join(F.reverse(F.slice(F.reverse(F.split(host, r"\.", -1)), F.lit(1), labels)), ".")
 
@@ -78,17 +102,22 @@ def strength(groups: DataFrame) -> float:
     return min(MOST_STRENGTH, max(LEAST_STRENGTH, 1 / inside - 1))
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def reputations(outcomes: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
     """host, n, bad, mean, lower: the posterior share of bad pages of every host and its lower bound.
 
     ``outcomes`` has host and bad (1, 0, NULL if not labelled), one row per page. Each
     level's posterior mean is the next one's prior mean: all pages, suffix, registered
     domain, host. A host without labelled pages gets its domain's. Pages are counted by
     host before anything is shuffled; levels above see one row per host and less.
+    ``suffixes`` (suffix) is a list of public suffixes; hosts that none fits, and all
+    without it, go by the last label or the last two as in co.uk. User and port don't
+    count for domain and suffix; an address is its own domain, and all share a suffix.
     """
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
-    hosts = hosts.withColumn("_suffix", suffix_of(F.col("host"))).withColumn("_domain", domain_of(F.col("host"), F.col("_suffix")))
-    hosts = checkpointed(hosts)
+    hosts = hosts.withColumn("_name", name_of(F.col("host"))).withColumn("_suffix", suffix_of(F.col("_name")))
+    if suffixes is not None:
+        hosts = hosts.join(listed_suffixes(hosts, suffixes), "_name", "left").withColumn("_suffix", F.coalesce("_listed", "_suffix")).drop("_listed")
+    hosts = checkpointed(hosts.withColumn("_domain", domain_of(F.col("_name"), F.col("_suffix"))).drop("_name"))
     domains = hosts.groupBy("_domain", "_suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("_suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()

@@ -427,3 +427,55 @@ def test_windows_of_several_documents():
         batches = [pa.RecordBatch.from_pydict({"key": [k for k, _ in rows[i : i + size]], "doc_id": [d for _, d in rows[i : i + size]]}) for i in range(0, 150, size)]
         found = [(r["key"], r["doc_id"]) for b in passages.of_several(iter(batches)) for r in b.to_pylist()]
         assert sorted(found) == [r for r in rows if len({d for k, d in rows if k == r[0]}) > 1]
+
+
+def test_hosts_are_grouped_without_user_and_port(spark):
+    wanted = {
+        "example.com:8080": ("com", "example.com"),
+        "u@ex.co.uk": ("co.uk", "ex.co.uk"),
+        "u:p@a.b.example.org:1": ("org", "example.org"),
+        "10.0.0.1": (url_filter.ADDRESS, "10.0.0.1"),
+        "10.0.0.1:80": (url_filter.ADDRESS, "10.0.0.1"),
+        "[::1]:80": (url_filter.ADDRESS, "[::1]"),
+        "example.net.": ("net", "example.net"),
+        "localhost": ("localhost", "localhost"),
+        "": ("", ""),
+    }
+    frame = spark.createDataFrame([(h,) for h in wanted], "host string").withColumn("n", url_filter.name_of(F.col("host")))
+    frame = frame.withColumn("s", url_filter.suffix_of(F.col("n"))).withColumn("d", url_filter.domain_of(F.col("n"), F.col("s")))
+    assert {r.host: (r.s, r.d) for r in frame.collect()} == wanted
+
+
+@pytest.mark.parametrize("listed", [False, True])
+def test_reputations_against_plain_arithmetic(spark, listed):
+    """Counts, priors and bounds of every level computed anew, with the strengths as the operator finds them."""
+    draw = random.Random(4 + listed)
+    hosts = [f"{a}{d}.{s}" for s in ("com", "co.uk", "blog.host.io", "net:81") for d in ("x", "y", "zz") for a in ("", "a.", "b.c.")] + ["10.0.0.1", "10.0.0.2:8"]
+    rate = {h: draw.random() for h in hosts}
+    rows = [(h, None if draw.random() < 0.2 else int(draw.random() < rate[h])) for h in hosts for _ in range(draw.randint(1, 40))]
+    suffixes = spark.createDataFrame([("host.io",), ("blog.host.io",), ("blog.host.io",)], "suffix string") if listed else None
+    found = {r.host: r for r in url_filter.reputations(spark.createDataFrame(rows, "host string, bad int"), suffixes).collect()}
+
+    def levels(host):
+        name = host.split(":")[0]
+        if name[0].isdigit():
+            return url_filter.ADDRESS, name
+        tail = "blog.host.io" if listed and name.endswith("blog.host.io") else "co.uk" if name.endswith("co.uk") else name.split(".")[-1]
+        return tail, ".".join(name.split(".")[-tail.count(".") - 2 :])
+
+    counts = {"host": defaultdict(lambda: [0, 0]), "domain": defaultdict(lambda: [0, 0]), "suffix": defaultdict(lambda: [0, 0])}
+    for host, bad in rows:
+        if bad is not None:
+            for level, key in (("host", host), ("domain", levels(host)), ("suffix", levels(host)[0])):
+                counts[level][key][0] += 1
+                counts[level][key][1] += bad
+    k = {c: url_filter.strength(spark.createDataFrame([tuple(x) for x in own.values()], "n long, bad long")) for c, own in counts.items()}
+    n, bad = (sum(x[i] for x in counts["host"].values()) for i in (0, 1))
+    for host in hosts:
+        mean = bad / n
+        for level, key in (("suffix", levels(host)[0]), ("domain", levels(host)), ("host", host)):
+            own = counts[level][key]
+            mean = (k[level] * mean + own[1]) / (k[level] + own[0])
+        lower = max(0.0, mean - url_filter.CONFIDENCE * (mean * (1 - mean) / (k["host"] + 1 + counts["host"][host][0])) ** 0.5)
+        assert found[host].mean == pytest.approx(mean) and found[host].lower == pytest.approx(lower)
+        assert (found[host].n, found[host].bad) == tuple(counts["host"][host])
