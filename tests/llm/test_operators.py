@@ -419,6 +419,43 @@ def test_passages_whose_first_holder_has_a_part(spark, part):
     assert all(roots[i] // 3 == i // 3 for i in roots)
 
 
+def test_passages_around_a_line_that_many_hold(spark):
+    """In each set ten documents hold a line that is no passage, and two of them, not the first, two more words around it: all pairs by brute force."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    noise = lambda n: [word() for _ in range(n)]
+    texts, wanted = [], set()
+    for i in range(100):
+        line, ends = noise(48), noise(2)
+        one, two = sorted(rng.sample(range(2, 10), 2))
+        for j in range(10):
+            held = [ends[0], *line, ends[1]] if j in (one, two) else line
+            texts.append(" ".join(noise(rng.randint(10, 80)) + held + noise(rng.randint(10, 80))))
+        wanted.add((10 * i + one, 10 * i + two))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    # A run of 50 words that two documents share whole.
+    assert {(a, b) for i in range(0, 1000, 10) for a in range(i, i + 10) for b in range(a + 1, i + 10) if len(sets[a] & sets[b]) >= 46} == wanted
+    found = passages.passage_links(docs(spark, texts))
+    assert {(r.a, r.b) for r in found.where("similarity = 1").collect()} == wanted
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_neighbours_link_all_documents_of_a_group(size):
+    """Groups of band + 1 documents or fewer, wherever batches end; larger ones the first and the band before."""
+    rng = random.Random(size)
+    rows = sorted((k, 5, rng.randrange(3 + 2 * k), rng.randrange(100), 40, 40) for k in range(8) for _ in range(4 * k + 2))
+    names = ["key", "context", "doc_id", "c", "to_left", "to_right"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + size])], names=names) for i in range(0, len(rows), size)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(passages.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+        links = {(r["key"], r["a"], r["b"]) for b in passages.neighbours(iter(batches), 46, 8) for r in b.to_pylist() if r["f"] >= 0}
+    wanted = set()
+    for k in range(8):
+        held = sorted({r[2] for r in rows if r[0] == k})
+        wanted |= {(k, a, b) for j, b in enumerate(held) for a in {held[0], *held[max(0, j - 8) : j]} if a != b}
+    assert links == wanted
+
+
 def test_windows_of_several_documents():
     """Only keys of two documents or more are left, wherever batches end, and a partition's links span its batches."""
     rng = random.Random(3)
