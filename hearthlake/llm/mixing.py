@@ -121,6 +121,22 @@ def mixed(docs: DataFrame, seed: int = SEED, rows_per_bucket: int = ROWS_PER_BUC
     )
 
 
+def sequence(found: DataFrame, *keep: str, seed: int = SEED) -> DataFrame:
+    """The mix in training order without its texts: a row of ``found`` (see ``mixed``) for each time it is taken, range-sorted by position.
+
+    Columns: epoch (0 or 1), position, doc_id, size and those to ``keep``. Partitions and the rows in them ascend by position.
+    """
+    copies = F.filter(
+        F.array(*[F.struct(F.lit(e).alias("epoch"), F.col(p).alias("position")) for e, p in enumerate(("first_position", "second_position"))]),
+        lambda c: c["position"].isNotNull(),
+    )
+    return _by_position(found.select(F.inline(copies), "doc_id", "size", *keep), "position", seed)
+
+
+def _by_position(copies: DataFrame, position: str, seed: int) -> DataFrame:
+    return copies.repartitionByRange(position, "doc_id").sortWithinPartitions(position, seeded(seed, "doc_id"))
+
+
 def curriculum(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of ``docs``, all columns, once for each time they are taken, range-sorted by position.
 
@@ -134,12 +150,25 @@ def curriculum(docs: DataFrame, seed: int = SEED) -> DataFrame:
     times = F.filter(F.array("first_position", "second_position"), lambda p: p.isNotNull())
     taken = found.select("_row", times.alias("_times")).where(F.size("_times") > 0)
     copies = rows.join(taken, "_row").select(*named.columns, F.explode("_times").alias("_position"))
-    key = seeded(seed, "doc_id")
-    return copies.repartitionByRange("_position", "doc_id").sortWithinPartitions("_position", key).select(*named.columns).toDF(*docs.columns)
+    return _by_position(copies, "_position", seed).select(*named.columns).toDF(*docs.columns)
+
+
+def per_document(found: DataFrame, order: DataFrame) -> DataFrame:
+    """The rows of ``mixed`` (with a ``_row`` each), what is taken of them and when read from the mix in training order."""
+    place = lambda epoch: F.min(F.when(F.col("epoch") == epoch, F.col("position")))
+    mix = order.groupBy("_row").agg(F.sum("size").alias("taken"), place(0).alias("first_position"), place(1).alias("second_position"))
+    taken = F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+    return (
+        found.select("_row", "doc_id", "size", "source_size", "target")
+        .join(mix, "_row", "left")
+        .select("doc_id", "size", "source_size", "target", taken, "first_position", "second_position")
+    )
 
 
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixed(given(spark, sf_dir, "documents"))
+    """The mix is written in training order, without its texts, and what it takes of each document is read back from there."""
+    found = checkpointed(mixed(given(spark, sf_dir, "documents")).withColumn("_row", F.monotonically_increasing_id()))
+    return per_document(found, stored(sequence(found, "_row")))
 
 
 ORACLE = r"""

@@ -121,6 +121,20 @@ def test_mixed(table):
     assert copies == Counter({r.doc_id: n for r in found if (n := sum(t is not None for t in (r.first_position, r.second_position)))})
 
 
+def test_mix_is_read_from_its_range_sorted_order(spark, monkeypatch):
+    """The query's rows come from the mix in training order, whose partitions ascend by position."""
+    orders, sequence = [], mixing.sequence
+    monkeypatch.setattr(mixing, "sequence", lambda *args, **named: orders.append(sequence(*args, **named)) or orders[-1])
+    rows = mixing.op7_curriculum_mix(spark, SF_DIR)
+    assert len(orders) == 1 and "rangepartitioning(position" in orders[0]._jdf.queryExecution().executedPlan().toString()
+    positions = [r.position for r in orders[0].collect()]
+    assert len(positions) > 100 and positions == sorted(positions)
+    wanted = mixing.mixed(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()
+    found = rows.collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, wanted))
+    assert sorted(positions) == sorted(p for r in found for p in (r.first_position, r.second_position) if p is not None)
+
+
 def test_curriculum_of_shared_ids(spark):
     """Rows that share a doc_id, or have none: those go out that the targets take."""
     rng = random.Random(7)
