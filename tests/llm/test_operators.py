@@ -530,3 +530,37 @@ def test_reputations_against_plain_arithmetic(spark, listed):
         lower = max(0.0, mean - url_filter.CONFIDENCE * (mean * (1 - mean) / (k["host"] + 1 + counts["host"][host][0])) ** 0.5)
         assert found[host].mean == pytest.approx(mean) and found[host].lower == pytest.approx(lower)
         assert (found[host].n, found[host].bad) == tuple(counts["host"][host])
+
+
+def test_links_of_near_copies_grow_with_their_number(spark):
+    """Twice the near copies make about twice the links, and one class; copies that share nothing with them stay apart."""
+    rng = random.Random(29)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base, made = [word() for _ in range(240)], {}
+    for size in (60, 120):
+        texts = []
+        for _ in range(size):
+            own = list(base)
+            for _ in range(4):
+                own[rng.randrange(len(own))] = word()
+            texts.append(" ".join(own))
+        other = " ".join(word() for _ in range(80))
+        links = passages.checkpointed(passages.passage_links(docs(spark, [*texts, other, other])))
+        found = {r.doc_id: r for r in passages.repeated_documents(links).collect()}
+        assert {i for i, r in found.items() if r.class_id == 0} == set(range(size)) and found[size + 1].class_id == size
+        assert found[size + 1].repeated_words == 80
+        made[size] = links.where(f"b < {size}").select("a", "b").distinct().count()
+    assert made[120] < 2.5 * made[60] and made[120] < 3 * 120
+
+
+def test_neighbours_of_one_class():
+    """Documents of one class aren't linked, and leads of groups of three or more, or at a partition's ends, come out once."""
+    rows = [(1, 5, d, 7, 40, 40, d % 2) for d in range(6)] + [(2, 5, d, 7, 40, 40, 0) for d in range(2)] + [(3, 5, d, 7, 40, 40, 0) for d in range(3)] + [(4, 5, 9, 7, 40, 40, 0)]
+    names = ["key", "context", "doc_id", "c", "to_left", "to_right", "root"]
+    for size in (1, 2, 100):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + size])], names=names) for i in range(0, len(rows), size)]
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(passages.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 0})()))
+            made = [r for b in passages.neighbours(iter(batches), 46, 32, True) for r in b.to_pylist()]
+        assert {(r["key"], r["a"], r["b"]) for r in made if r["f"] >= 0} == {(1, a, b) for b in range(6) for a in range(b) if (a - b) % 2}
+        assert sorted((r["key"], r["a"]) for r in made if r["f"] == passages.LEAD) == [(1, d) for d in range(6)] + [(3, d) for d in range(3)] + [(4, 9)]
