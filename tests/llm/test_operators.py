@@ -564,3 +564,21 @@ def test_neighbours_of_one_class():
             made = [r for b in passages.neighbours(iter(batches), 46, 32, True) for r in b.to_pylist()]
         assert {(r["key"], r["a"], r["b"]) for r in made if r["f"] >= 0} == {(1, a, b) for b in range(6) for a in range(b) if (a - b) % 2}
         assert sorted((r["key"], r["a"]) for r in made if r["f"] == passages.LEAD) == [(1, d) for d in range(6)] + [(3, d) for d in range(3)] + [(4, 9)]
+
+
+def test_passages_of_two_among_many(spark):
+    """Of 45 documents with a line that is no passage, the 3rd and the last share two more words; of 45 with a passage, these two share six more."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    noise = lambda n: [word() for _ in range(n)]
+    texts = []
+    for size, before, after in [(48, 1, 1)] * 3 + [(60, 0, 6)] * 3:
+        line, ends = noise(size), (noise(before), noise(after))
+        for j in range(45):
+            held = [*ends[0], *line, *ends[1]] if j in (2, 44) else line
+            texts.append(" ".join(noise(rng.randint(10, 40)) + held + noise(rng.randint(10, 40))))
+    found = {r.doc_id: r for r in passages.repeated_documents(passages.checkpointed(passages.passage_links(docs(spark, texts)))).collect() if r.doc_id < len(texts)}
+    for i in range(0, 135, 45):
+        assert {(j, r.class_id, r.repeated_words) for j, r in found.items() if i <= j < i + 45} == {(i + 2, i + 2, 0), (i + 44, i + 2, 50)}
+    for i in range(135, 270, 45):
+        assert {(j, r.class_id, r.repeated_words) for j, r in found.items() if i <= j < i + 45} == {(i, i, 0), (i + 44, i, 66)} | {(j, i, 60) for j in range(i + 1, i + 44)}
