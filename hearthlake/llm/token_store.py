@@ -2,14 +2,12 @@
 
 A file is Parquet, so that Spark commits it whole on any store: one row per segment,
 with the segment's place (part, seq), its doc_ids, their numbers of ids and the blocks
-of ``range_coder``, in which the documents' ids follow one another.
+of ``range_coder``, in which the documents' ids follow one another. The blocks are coded
+and decoded in the executors' JVM (``jvm_coder``).
 """
 
 from __future__ import annotations
 
-import functools
-import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +16,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthlake.llm import range_coder
+from hearthlake.llm import jvm_coder
 from hearthlake.llm.byte_bpe import chunks
 from hearthlake.llm.common import given, ranked
+from hearthlake.llm.pieces import pieces
 from hearthlake.session import shared_folder
 
 END = 2
@@ -36,14 +35,6 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@functools.lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 def block_size(ids: int) -> int:
     return min(BLOCK, max(LEAST_BLOCK, ids // LANES))
 
@@ -63,37 +54,37 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end: int = END)
     def segments(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
         docs_, ids, total, type_ = [], [], 0, pa.int64()
+        names = ["part", "seq", "doc_ids", "lengths", "ids", "block"]
 
         def segment() -> pa.RecordBatch:
             lengths = [len(i) for i in ids]
-            whole = np.concatenate(ids)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int32()),
-                    pa.array([seq], pa.int32()),
-                    pa.array([docs_], pa.list_(type_)),
-                    pa.array([lengths], pa.list_(pa.int64())),
-                    pa.array([range_coder.encode(whole, block_size(len(whole)))], pa.list_(pa.binary())),
-                ],
-                names=["part", "seq", "doc_ids", "lengths", "blocks"],
-            )
+            columns = [
+                pa.array([part], pa.int32()),
+                pa.array([seq], pa.int32()),
+                pa.array([docs_], pa.list_(type_)),
+                pa.array([lengths], pa.list_(pa.int64())),
+                pa.array([np.concatenate(ids).astype("<u4").tobytes()], pa.binary()),
+                pa.array([block_size(total)], pa.int32()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in found:
             type_ = batch.schema.field(0).type
             for some in chunks(batch, 1, TEXT_BYTES):
                 texts = [t or "" for t in some.column(1).to_pylist()]
-                coded = tokenizer(path or default_path()).encode_batch_fast(texts, add_special_tokens=False)
-                for doc, code in zip(some.column(0).to_pylist(), coded):
+                for doc, code in zip(some.column(0).to_pylist(), pieces(path or default_path()).encode(texts, end)):
                     docs_.append(doc)
-                    ids.append(np.array([*code.ids, end], dtype=np.int64))
-                    total += len(ids[-1])
+                    ids.append(code)
+                    total += len(code)
                     if total >= SEGMENT:
                         yield segment()
                         docs_, ids, total, seq = [], [], 0, seq + 1
         if ids:
             yield segment()
 
-    rows.mapInArrow(segments, f"part int, seq int, doc_ids array<{kind}>, lengths array<long>, blocks array<binary>").write.parquet(folder)
+    coded = rows.mapInArrow(segments, f"part int, seq int, doc_ids array<{kind}>, lengths array<long>, ids binary, block int")
+    blocks = jvm_coder.encoded(docs.sparkSession, F.col("ids"), F.col("block")).alias("blocks")
+    coded.select("part", "seq", "doc_ids", "lengths", blocks).write.parquet(folder)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,31 +95,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     checksum doesn't hold ends the job with an error.
     """
     stored = spark.read.parquet(folder)
-    kind = stored.schema["doc_ids"].dataType.elementType.simpleString()
-
-    def documents(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for row in range(batch.num_rows):
-                part, seq, docs_, lengths, blocks = (column[row] for column in batch.columns)
-                ids = range_coder.decode(blocks.as_py()).astype("<u4")
-                ends = np.cumsum(lengths.values.to_numpy())
-                starts = ends - lengths.values.to_numpy()
-                if len(ids) != ends[-1]:
-                    raise ValueError("a segment's lengths do not fit its ids")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part.as_py()] * len(ends), pa.int32()),
-                        pa.array([seq.as_py()] * len(ends), pa.int32()),
-                        docs_.values,
-                        pa.array(starts, pa.int64()),
-                        pa.array(ends - starts, pa.int64()),
-                        pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)], pa.int64()),
-                    ],
-                    names=["part", "seq", "doc_id", "offset", "n_tokens", "ids_crc32"],
-                )
-
-    schema = f"part int, seq int, doc_id {kind}, offset long, n_tokens long, ids_crc32 long"
-    docs = stored.select("part", "seq", "doc_ids", "lengths", "blocks").mapInArrow(documents, schema)
+    places = jvm_coder.documents(spark, F.col("blocks"), F.col("lengths"))
+    docs = stored.select("part", "seq", F.inline(F.arrays_zip(F.col("doc_ids").alias("doc_id"), F.col("lengths").alias("n_tokens"), places.alias("place"))))
+    docs = docs.withColumns({"offset": F.shiftright("place", 32), "ids_crc32": F.col("place").bitwiseAND(F.lit(0xFFFFFFFF))})
     sizes = stored.select("part", "seq", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b).alias("_n"))
     before = ranked(sizes, [], "part", [F.col("seq")], "_rank", {"_n": "_before"}).select("part", "seq", "_before")
     return docs.join(before, ["part", "seq"]).select("doc_id", (F.col("_before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")

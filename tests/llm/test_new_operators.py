@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -11,6 +12,8 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import pre_tokenizers
 
 from hearthlake.llm import byte_bpe, collocations, cover_suffixes, exact_dedup, fill_middle, mixing, quality_rules, simhash
 from tests.oracle import connect, differences
@@ -241,3 +244,43 @@ def test_stages_keep_clashing_columns(spark):
         assert Counter((r[0], r[1]) for r in found.collect()) == Counter((r[0], r[1]) for r in expected.collect())
         for row in found.collect():
             assert len({value.removeprefix(c) for c, value in zip(extra, row[5:])}) == 1
+
+
+def test_pieces_equal_the_library(monkeypatch):
+    """Pieces of every kind side by side, contractions, marks, special tokens, characters of unsure class, long pieces, forgotten pieces."""
+    from hearthlake.llm import pieces, token_store
+
+    coder = pieces.Pieces(token_store.default_path())
+    whole, cut = coder.library.encode_batch_fast, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    # Classes as the library has them: between a letter and a number, each kind is cut in its own way.
+    wanted = {pieces.LETTER: [(0, 2), (2, 3)], pieces.NUMBER: [(0, 1), (1, 3)], pieces.SIGN: [(0, 1), (1, 2), (2, 3)], pieces.WHITE: [(0, 1), (1, 2), (2, 3)]}
+    sure = [c for c in [*range(0x3000), 0xAC00, 0x1F600, 0x20000] if pieces.classes()[c] in wanted and c != 39]
+    assert [c for c in sure if [at for _, at in cut(f"a{chr(c)}1")] != wanted[pieces.classes()[c]]] == [] and len(sure) > 8000
+    draw = random.Random(7)
+    parts = ["'", "'s", "'t", "'re", "'ve", "'ll", " ", "  ", "\n", "　", "a", "re", "S", "日本", "٣", "12", "!", "...", "\U0001f600", "\U0001f9ff", "<|endoftext|>", "\x1c", "\x85", pieces.MARK, "aaaa" * 90]
+    monkeypatch.setattr(pieces, "PIECES", 300)
+    for _ in range(400):
+        texts = ["".join(draw.choices(parts, k=draw.randrange(14))) + "".join(draw.choices("abcdelnorst", k=draw.randrange(30))) for _ in range(draw.randrange(1, 6))]
+        assert [x.tolist() for x in coder.encode(texts, 2)] == [[*c.ids, 2] for c in whole(texts, add_special_tokens=False)]
+    # A piece that is known isn't coded again, whatever texts it stands in.
+    monkeypatch.setattr(pieces, "PIECES", 10_000)
+    coder.encode(["the same words"], 2)
+    monkeypatch.setattr(coder.merges, "contracted", None)
+    assert [len(x) for x in coder.encode(["the same", "the same words words"], 2)] == [3, 5]
+
+
+@pytest.mark.parametrize("ids", [[5], [0] * 700, [2**32 - 1, 0, 7], [i * i % 50_257 for i in range(999)]])
+def test_blocks_of_the_jvm_equal_those_of_python(spark, ids):
+    from hearthlake.llm import jvm_coder, range_coder
+
+    data = np.array(ids, dtype="<u4")
+    coded = spark.createDataFrame([(bytearray(data.tobytes()),)], "ids binary").select(jvm_coder.encoded(spark, F.col("ids"), F.lit(128)).alias("blocks"))
+    blocks = [bytes(b) for b in coded.first().blocks]
+    assert blocks == range_coder.encode(data.astype(np.int64), 128)
+    lengths = [1, 0, len(ids) - 1]
+    read = lambda x: spark.createDataFrame([(x, lengths)], "b array<binary>, n array<long>").select(jvm_coder.documents(spark, F.col("b"), F.col("n")).alias("d")).first().d
+    assert read(blocks) == [0 << 32 | zlib.crc32(data[:1].tobytes()), 1 << 32, 1 << 32 | zlib.crc32(data[1:].tobytes())]
+    broken = bytearray(blocks[0])
+    broken[9] ^= 0x40
+    with pytest.raises(Exception, match="checksum"):
+        read([bytes(broken), *blocks[1:]])
